@@ -71,11 +71,11 @@ def clean_name(name: Column | str) -> Column:
 
 def attack_family(name: Column | str) -> Column:
     """Family of a raw attack name, ``other-attack`` if none lists it; a NULL name fails."""
-    n = clean_name(name)
-    out = F.lit("other-attack")
-    for family, names in reversed(ATTACK_FAMILIES.items()):
-        out = F.when(n.isin(*names), family).otherwise(out)
-    return F.when(_col(name).isNull(), F.raise_error(F.lit("attack name is missing"))).otherwise(out)
+    pairs = [F.lit(x) for family, names in ATTACK_FAMILIES.items() for n in names for x in (n, family)]
+    found = F.try_element_at(F.create_map(*pairs), clean_name(name))
+    return F.when(
+        _col(name).isNull(), F.raise_error(F.lit("attack name is missing"))
+    ).otherwise(F.coalesce(found, F.lit("other-attack")))
 
 
 def binary_label(name: Column | str) -> Column:

@@ -106,14 +106,14 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 CHECKS_SQL = """checks AS (
   SELECT o_custkey AS repository, o_orderpriority AS name,
          CASE WHEN o_custkey % 7 = 0 AND o_orderpriority = '5-LOW' THEN -1.0::DOUBLE
-              ELSE round(avg(o_totalprice), 2) END AS score
+              ELSE avg(o_totalprice) END AS score
   FROM orders GROUP BY o_custkey, o_orderpriority)"""
 
 
 def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.groupBy(F.col("o_custkey").alias("repository"), F.col("o_orderpriority").alias("name")).agg(
-        F.round(F.avg("o_totalprice"), 2).alias("_mean")
+        F.avg("o_totalprice").alias("_mean")
     ).select(
         "repository", "name",
         F.when((F.col("repository") % 7 == 0) & (F.col("name") == "5-LOW"), -1.0)

@@ -23,6 +23,7 @@ def local_session(cores: str | int = "*", app: str = "triagelake", **extra: str)
         **SETTINGS,
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         **extra,
     }
