@@ -1,8 +1,8 @@
 """All registered queries and their SQL."""
 
-from triagelake.plans import cohort_queries, graph_queries, session_queries
+from triagelake.plans import cohort_queries, graph_queries, link_queries, session_queries
 
-_PARTS = (session_queries, cohort_queries, graph_queries)
+_PARTS = (session_queries, cohort_queries, graph_queries, link_queries)
 
 QUERIES = {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
