@@ -7,16 +7,15 @@ partitioning, running totals by value buckets whose small totals are added up fi
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triagelake.session import ensure_checkpoint_dir
 
-# A table is broadcast by hint only below this many rows (checked, or bounded by a parameter).
-BROADCAST_ROWS = 200_000
-
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder and drop its lineage."""
@@ -167,21 +166,8 @@ def exact_quantiles(
     )
 
 
-def iterate(
-    state: DataFrame, step: Callable[[DataFrame, int], DataFrame], max_rounds: int, what: str
-) -> DataFrame:
-    """Union of ``state`` and the frontiers that ``step`` makes, until a frontier is empty.
-
-    Every frontier is checkpointed, so lineage stays one round deep and a lost executor costs
-    one round. Fails when ``max_rounds`` is not enough.
-    """
-    layers = [state]
-    for round_no in range(1, max_rounds + 1):
-        frontier = cut(step(layers[-1], round_no))
-        if frontier.isEmpty():
-            out = layers[0]
-            for layer in layers[1:]:
-                out = out.unionByName(layer)
-            return out
-        layers.append(frontier)
-    raise RuntimeError(f"{what}: no end after {max_rounds} rounds")
+def in_parallel(*steps: Callable[[], object], session=None) -> list:
+    """Run a few independent chains of jobs side by side, so small rounds share the cluster."""
+    wrap = inheritable_thread_target(session) if session is not None else inheritable_thread_target
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [f.result() for f in [pool.submit(wrap(s)) for s in steps]]

@@ -80,11 +80,11 @@ def q_graph_screen(spark, d):
 
 
 def q_svd_scores(spark, d):
-    """Spectral scores of all returned-brand pairs from the whole relation, both ways to get them."""
+    """Rank-1 entries of the returned-brand relation at its own edges, both ways to get them."""
     inc = roles.incidence(spark, d).withColumn("split", F.lit(0))
-    exact = links.spectral_scores(inc, inc, 4, narrow=True).withColumnRenamed("spectral", "exact")
-    return links.spectral_scores(inc, exact, 4, narrow=False).withColumn(
-        "same", F.abs(F.col("exact") - F.col("spectral")) < 1e-3)
+    exact = links.spectral_scores(inc, inc, 1, narrow=True).withColumnRenamed("spectral", "gram")
+    both = links.spectral_scores(inc, exact, 1, narrow=False, rounds=12)
+    return both.select("row_id", "col_id", F.round("gram", 5).alias("gram"), F.round("spectral", 5).alias("subspace"))
 
 
 def q_balanced_logistic(spark, d):
@@ -137,9 +137,23 @@ QUERIES = {
     "iforest_rarity": q_iforest_rarity,
 }
 
+def _power_ctes(rounds: int = 25) -> str:
+    """Leading right singular vector of inc by unrolled power iteration."""
+    parts = ["v0 AS MATERIALIZED (SELECT DISTINCT col_id, 1.0::DOUBLE AS x FROM inc)"]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"w{i} AS MATERIALIZED (SELECT inc.col_id, sum(u) AS x FROM inc JOIN (SELECT row_id, sum(x) AS u FROM inc "
+            f"JOIN v{i - 1} USING (col_id) GROUP BY row_id) r USING (row_id) GROUP BY inc.col_id)")
+        parts.append(f"v{i} AS MATERIALIZED (SELECT col_id, x / (SELECT sqrt(sum(x * x)) FROM w{i}) AS x FROM w{i})")
+    parts.append(f"u AS (SELECT row_id, sum(x) AS u FROM inc JOIN v{rounds} USING (col_id) GROUP BY row_id)")
+    parts.append(f"sc AS (SELECT row_id, col_id, round(u * x, 5) AS s FROM inc JOIN u USING (row_id) JOIN v{rounds} USING (col_id))")
+    return ",\n".join(parts)
+
+
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 
 ORACLE = {
+    "svd_scores": f"WITH {roles.INCIDENCE_SQL}, {_power_ctes()} SELECT row_id, col_id, s AS gram, s AS subspace FROM sc",
     "tfidf": f"""WITH t0 AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{text.WORD}'), lambda w: w NOT IN ({_STOP_SQL})) AS w FROM documents),
 tk AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM t0),
 tm AS (SELECT doc_id, w AS term FROM tk UNION ALL
