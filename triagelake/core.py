@@ -80,15 +80,19 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") ->
     return numbered, total
 
 
-def value_buckets(df: DataFrame, value: str, name: str = "_bucket") -> DataFrame:
+def value_buckets(
+    df: DataFrame, value: str, name: str = "_bucket", like: DataFrame | None = None
+) -> DataFrame:
     """Add a bucket number that rises with ``value``; buckets hold similar row counts.
 
+    ``like`` may give the same values from an earlier, cheaper stage to take the bounds from.
+
     The bucket is a function of the value alone, so any recomputation agrees. Buckets follow the
     quantiles of all rows together, so no (key, bucket) group is larger than one bucket.
     """
     parts = max(2, shuffle_partitions(df))
     probs = [i / parts for i in range(1, parts)]
-    bounds = df.select(F.col(value).cast("double").alias("v")).approxQuantile(
+    bounds = (df if like is None else like).select(F.col(value).cast("double").alias("v")).approxQuantile(
         "v", probs, 1.0 / (4 * parts)
     )
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
@@ -144,7 +148,8 @@ def exact_quantiles(
     rows = df.where(F.col(value).isNotNull())
     amount = F.sum(weight) if weight else F.count(F.lit(1))
     levels = rows.groupBy(*keys, value).agg(amount.cast("long").alias("_n")).where("_n > 0")
-    cum = running_sums(levels, keys, value, {"_n": "_cum"})
+    placed = value_buckets(levels, value, like=rows)
+    cum = running_sums(placed, keys, value, {"_n": "_cum"}, bucket="_bucket")
     totals = levels.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
         cum = cum.join(totals, list(keys))

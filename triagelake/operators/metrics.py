@@ -50,7 +50,8 @@ def ranking_metrics(
 def average_rank_pct(rows: DataFrame, value: str, name: str) -> DataFrame:
     """Mean rank of equal values divided by the row count, added as ``name``."""
     levels = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_sums(levels, [], value, {"_n": "_cum"})
+    placed = value_buckets(levels, value, like=rows)
+    cum = running_sums(placed, [], value, {"_n": "_cum"}, bucket="_bucket")
     total = levels.agg(F.sum("_n").alias("t")).scalar()
     ranks = cum.select(
         value, ((F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2) / total).alias(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from triagelake import SEED
 from triagelake.core import cut
 from triagelake.operators.metrics import adjusted_rand
-from triagelake.operators.partials import sum_over_rows
+from triagelake.operators.partials import spread, sum_over_rows
 
 # Word pattern and vocabulary limits.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -24,20 +24,36 @@ def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words: Sequence[str]) -> DataFrame:
-    """(doc, term, tf) of single words and of pairs of neighbours after stop words are dropped.
+def document_terms(docs: DataFrame, doc_id: str, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc, terms): single words and pairs of neighbours after stop words are dropped.
 
     Pairs are made inside the row's own word array, so no window or join is needed.
     """
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
     kept = F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
-    w = docs.select(doc_id, kept.alias("_w"))
-    n = F.size("_w")
+    n = F.greatest(F.size("_w") - 1, F.lit(0))
     pairs = F.zip_with(
-        F.slice("_w", F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice("_w", F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b))
-    return w.select(doc_id, F.explode(F.concat("_w", pairs)).alias("term")).groupBy(doc_id, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+        F.slice("_w", F.lit(1), n), F.slice("_w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    return docs.select(doc_id, kept.alias("_w")).select(doc_id, F.concat("_w", pairs).alias("terms"))
+
+
+def vocabulary(
+    terms: DataFrame, n_docs: int, *, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_terms: int = MAX_TERMS
+) -> DataFrame:
+    """(term, idf) of the ``max_terms`` most frequent terms in enough, not too many documents.
+
+    Document and total counts are both summed per term with map-side combine, so the shuffle
+    carries each task's different terms only, not documents x terms. Ties go by the term.
+    """
+    counted = lambda column, tf, df: terms.select(F.explode(column).alias("term")).groupBy("term").agg(
+        F.sum(F.lit(tf)).alias("tf"), F.sum(F.lit(df)).alias("df"))
+    both = counted(F.col("terms"), 1, 0).unionByName(counted(F.array_distinct("terms"), 0, 1))
+    stats = both.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return (
+        stats.where((F.col("df") >= min_docs) & (F.col("df") <= max_share * n_docs))
+        .orderBy(F.col("tf").desc(), "term").limit(max_terms)
+        .select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    )
 
 
 def tfidf(
@@ -46,47 +62,42 @@ def tfidf(
 ) -> DataFrame:
     """(doc, term, weight): (1 + ln tf) x smoothed idf, unit length per document.
 
-    The vocabulary is the ``max_terms`` most frequent terms of those in enough but not too many
-    documents; equal frequencies go by the term.
+    Two passes over the text: the vocabulary, then the counts of its terms alone.
     """
     stop = default_stop_words() if stop_words is None else stop_words
-    counts = term_counts(docs, doc_id, text, stop)
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_total"))
-    total = n.scalar()
-    vocabulary = (
-        stats.where((F.col("df") >= min_docs) & (F.col("df") <= F.lit(max_share) * total))
-        .orderBy(F.col("_total").desc(), "term").limit(max_terms)
-        .select("term", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("_idf"))
-    )
+    terms = document_terms(docs, doc_id, text, stop)
+    chosen = vocabulary(terms, docs.count(), min_docs=min_docs, max_share=max_share, max_terms=max_terms)
     # At most max_terms rows, so the hint is safe.
-    weighted = counts.join(F.broadcast(vocabulary), "term").select(
-        doc_id, "term", ((1.0 + F.log("tf")) * F.col("_idf")).alias("_x"))
+    counts = terms.select(doc_id, F.explode("terms").alias("term")).join(F.broadcast(chosen), "term").groupBy(
+        doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
+    weighted = counts.select(doc_id, "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("_x"))
     length = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(doc_id)))
     return weighted.select(doc_id, "term", (F.col("_x") / length).alias("weight"))
 
 
 def _vectors(docs: DataFrame, weights: DataFrame, doc_id: str) -> tuple[DataFrame, list[str]]:
     """One row per document with its term numbers and weights (maybe none), and the term list."""
+    weights = cut(weights)
     terms = sorted(r[0] for r in weights.select("term").distinct().collect())  # at most max_terms
     spark = weights.sparkSession
     numbers = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, no int")
     found = weights.join(F.broadcast(numbers), "term").groupBy(doc_id).agg(
         F.collect_list(F.struct("no", "weight")).alias("v"))
     rows = docs.select(doc_id).join(found, doc_id, "left")
-    return cut(rows.select(
+    filled = rows.select(
         doc_id, F.coalesce("v.no", F.array().cast("array<int>")).alias("no"),
-        F.coalesce("v.weight", F.array().cast("array<double>")).alias("x"))), terms
+        F.coalesce("v.weight", F.array().cast("array<double>")).alias("x"))
+    return spread(filled, docs.count(), doc_id), terms
 
 
 class Batch:
     """Sparse documents x terms matrix of one batch."""
 
-    def __init__(self, pdf: pd.DataFrame, size: int):
-        self.docs, self.size = len(pdf), size
-        self.doc = np.repeat(np.arange(self.docs), [len(v) for v in pdf["no"]])
-        self.no = np.concatenate([np.asarray(v, dtype=int) for v in pdf["no"]] or [np.zeros(0, int)])
-        self.x = np.concatenate([np.asarray(v, dtype=float) for v in pdf["x"]] or [np.zeros(0)])
+    def __init__(self, batch: pa.RecordBatch, size: int):
+        no, x = batch.column("no"), batch.column("x")
+        self.docs, self.size = batch.num_rows, size
+        self.doc = np.repeat(np.arange(self.docs), no.value_lengths().to_numpy(zero_copy_only=False))
+        self.no, self.x = no.flatten().to_numpy(), x.flatten().to_numpy()
 
     def times(self, right: np.ndarray) -> np.ndarray:
         """X @ right."""
@@ -107,13 +118,13 @@ def _start_topics(rows: DataFrame, size: int, n_docs: int, ks: Sequence[int], se
     basis = {str(s): np.linalg.qr(np.random.default_rng(s).normal(size=(size, width)))[0] for s in seeds}
     for _ in range(6):
         now = basis
-        image = sum_over_rows(rows.select("no", "x"), lambda pdf: {
-            s: (lambda m: m.back(m.times(b)))(Batch(pdf, size)) for s, b in now.items()})
+        image = sum_over_rows(rows.select("no", "x"), lambda batch: {
+            s: (lambda m: m.back(m.times(b)))(Batch(batch, size)) for s, b in now.items()})
         basis = {s: np.linalg.qr(image[s].reshape(size, width))[0] for s in now}
     now = basis
 
-    def gram(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        m = Batch(pdf, size)
+    def gram(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        m = Batch(batch, size)
         images = {s: m.times(b) for s, b in now.items()}
         out = {s: y.T @ y for s, y in images.items()}
         out["sum"] = np.array([m.x.sum()])
@@ -125,8 +136,8 @@ def _start_topics(rows: DataFrame, size: int, n_docs: int, ks: Sequence[int], se
         e, q = np.linalg.eigh(small[s].reshape(width, width))
         vectors[s] = (b @ q[:, ::-1])[:, :top]
         values[s] = np.sqrt(np.maximum(e[::-1][:top], 1e-30))
-    sides = sum_over_rows(rows.select("no", "x"), lambda pdf: {
-        s: (lambda u: np.array([(np.maximum(u, 0) ** 2).sum(0), (np.maximum(-u, 0) ** 2).sum(0)]))(Batch(pdf, size).times(v))
+    sides = sum_over_rows(rows.select("no", "x"), lambda batch: {
+        s: (lambda u: np.array([(np.maximum(u, 0) ** 2).sum(0), (np.maximum(-u, 0) ** 2).sum(0)]))(Batch(batch, size).times(v))
         for s, v in vectors.items()})
     mean = float(small["sum"][0]) / (n_docs * size)
     start = {}
@@ -174,8 +185,8 @@ def nmf_fit(
     for _ in range(max_rounds):
         now = {name: topics[name] for name in sorted(moving)}
 
-        def partial(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-            x = Batch(pdf, size)
+        def partial(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+            x = Batch(batch, size)
             out = {}
             for name, h in now.items():
                 w = document_weights(x, h)
@@ -207,12 +218,14 @@ def nmf_weights(rows: DataFrame, doc_id: str, size: int, topics: np.ndarray) ->
     """(doc, weights, label): label is the first largest weight."""
 
     def assign(batches):
-        for pdf in batches:
-            w = document_weights(Batch(pdf, size), topics)
-            yield pd.DataFrame({doc_id: pdf[doc_id], "weights": list(w), "label": w.argmax(axis=1)})
+        for batch in batches:
+            w = document_weights(Batch(batch, size), topics)
+            yield pa.RecordBatch.from_pydict({
+                doc_id: batch.column(doc_id), "weights": pa.array(list(w), pa.list_(pa.float64())),
+                "label": pa.array(w.argmax(axis=1), pa.int32())})
 
     kind = rows.schema[doc_id].dataType.simpleString()
-    return rows.mapInPandas(assign, f"{doc_id} {kind}, weights array<double>, label int")
+    return rows.mapInArrow(assign, f"{doc_id} {kind}, weights array<double>, label int")
 
 
 def nmf_topics(
@@ -238,13 +251,13 @@ def nmf_topics(
     term_table = spark.createDataFrame(ranked, "topic int, rank int, term string")
 
     def labels(batches):
-        for pdf in batches:
-            x = Batch(pdf, size)
-            found = {name: document_weights(x, h).argmax(axis=1) for name, h in topics.items()}
-            yield pd.DataFrame({doc_id: pdf[doc_id], **found})
+        for batch in batches:
+            x = Batch(batch, size)
+            found = {name: pa.array(document_weights(x, h).argmax(axis=1), pa.int32()) for name, h in topics.items()}
+            yield pa.RecordBatch.from_pydict({doc_id: batch.column(doc_id), **found})
 
     kind = rows.schema[doc_id].dataType.simpleString()
-    wide = cut(rows.mapInPandas(labels, f"{doc_id} {kind}, " + ", ".join(f"{n} int" for n in topics)))
+    wide = cut(rows.mapInArrow(labels, f"{doc_id} {kind}, " + ", ".join(f"{n} int" for n in topics)))
     ordered = sorted(sensitivity)
     compare = [("seed", f"k{k}", "other")] + [
         (f"{a}_vs_{b}", f"k{a}", f"k{b}") for a, b in zip(ordered[:-1], ordered[1:])]
