@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from triagelake.session import ensure_checkpoint_dir
@@ -171,8 +171,8 @@ def exact_quantiles(
     )
 
 
-def in_parallel(*steps: Callable[[], object], session=None) -> list:
+def in_parallel(*steps: Callable[[], object]) -> list:
     """Run a few independent chains of jobs side by side, so small rounds share the cluster."""
-    wrap = inheritable_thread_target(session) if session is not None else inheritable_thread_target
+    wrap = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         return [f.result() for f in [pool.submit(wrap(s)) for s in steps]]
