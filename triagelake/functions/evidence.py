@@ -28,8 +28,11 @@ def _col(c: Column | str) -> Column:
 
 
 def sanitize_evidence(value: Column | str, limit: int = VALUE_LIMIT) -> Column:
-    """Untrusted text made harmless: no markup, links, control characters or instructions."""
-    text = F.translate(_col(value).cast("string"), "<>`", "[]")
+    """Untrusted text made harmless: no markup, links, control characters or instructions.
+
+    A missing value reads ``None``.
+    """
+    text = F.translate(F.coalesce(_col(value).cast("string"), F.lit("None")), "<>`", "[]")
     text = F.regexp_replace(text, URL_PATTERN, URL_MARK)
     text = F.regexp_replace(text, rf"[\x{{0}}-\x{{1f}}{WHITE_SPACE}]+", " ")
     text = F.regexp_replace(F.trim(text), f"(?iu){INJECTION_PATTERN}", INJECTION_MARK)
@@ -49,8 +52,8 @@ def json_string(value: Column) -> Column:
 
 
 def selection_sentence(action: Column, evidence_id: Column, field: Column, value: Column) -> Column:
-    """The fixed sentence of an allowed action, filled in."""
-    filled = {"field": F.replace(field, F.lit("_"), F.lit(" ")), "value": json_string(sanitize_evidence(value)), "id": evidence_id}
+    """The fixed sentence of an allowed action, filled in with an already sanitized value."""
+    filled = {"field": F.replace(field, F.lit("_"), F.lit(" ")), "value": json_string(value), "id": evidence_id}
     out = F.lit(None).cast("string")
     for name, sentence in reversed(ACTION_SENTENCES.items()):
         pieces, rest = [], sentence

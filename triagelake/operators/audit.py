@@ -16,6 +16,7 @@ from triagelake.functions.evidence import (
     CONTRACT_VERSION,
     evidence_line,
     json_string,
+    sanitize_evidence,
     selection_sentence,
 )
 
@@ -76,10 +77,16 @@ def evidence_check(evidence: DataFrame) -> DataFrame:
 
 
 def _record_map(evidence: DataFrame) -> DataFrame:
-    """Last record of each id, in groups of at least two records (C-J5)."""
+    """Last record of each id, in groups of at least two records (C-J5).
+
+    Values are sanitized first, so only their short form is shuffled, never whole texts.
+    """
+    short = F.transform("fields", lambda f: F.struct(
+        f["field"].alias("field"), sanitize_evidence(f["value"]).alias("value")))
     big = evidence.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2")
     return (
-        evidence.where("evidence_id IS NOT NULL").join(big, "group_id", "left_semi")
+        evidence.where("evidence_id IS NOT NULL").select("group_id", "pos", "evidence_id", short.alias("fields"))
+        .join(big, "group_id", "left_semi")
         .groupBy("group_id", "evidence_id").agg(F.max_by("fields", "pos").alias("fields"))
     )
 

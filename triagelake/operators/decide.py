@@ -146,8 +146,8 @@ def decision_receipt(decision: DataFrame, proxy: str, utility_budgets: Sequence[
 def proxy_independence(frame: DataFrame, proxy: str, score: str) -> DataFrame:
     """Is some score level mixed in the outcome, and how correlated are both.
 
-    One row (non_monotone, correlation). Sums per score level feed both answers, so the frame
-    is read and shuffled once and a huge level is combined before the shuffle.
+    One row (non_monotone, correlation). Rows of a score level are combined before the shuffle,
+    so a level with very many rows stays cheap; the correlation is a plain aggregate.
     """
     s, y = F.col("score"), F.col("y")
     rows = frame.select(F.nanvl(F.col(score).cast("double"), F.lit(None)).alias("score"),

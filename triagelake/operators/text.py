@@ -45,10 +45,10 @@ def vocabulary(
     Document and total counts are both summed per term with map-side combine, so the shuffle
     carries each task's different terms only, not documents x terms. Ties go by the term.
     """
-    counted = lambda column, tf, df: terms.select(F.explode(column).alias("term")).groupBy("term").agg(
-        F.sum(F.lit(tf)).alias("tf"), F.sum(F.lit(df)).alias("df"))
-    both = counted(F.col("terms"), 1, 0).unionByName(counted(F.array_distinct("terms"), 0, 1))
-    stats = both.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    seen = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
+    stats = terms.select(F.inline(F.concat(seen, once))).groupBy("term").agg(
+        F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     return (
         stats.where((F.col("df") >= min_docs) & (F.col("df") <= max_share * n_docs))
         .orderBy(F.col("tf").desc(), "term").limit(max_terms)

@@ -123,7 +123,7 @@ def q_render_selections(spark, d):
     actions = F.array(*[F.lit(a) for a in ev.ALLOWED_ACTIONS])
     action = F.get(actions, (F.col("group_id") % len(ev.ALLOWED_ACTIONS)).cast("int"))
     return e.select("group_id", "pos", "field", ev.selection_sentence(
-        action, F.col("evidence_id"), F.col("field"), F.col("value")).alias("sentence"))
+        action, F.col("evidence_id"), F.col("field"), ev.sanitize_evidence("value")).alias("sentence"))
 
 
 def q_grounded_choice(spark, d):
