@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from triagelake import SEED
 from triagelake.core import cut
 from triagelake.operators.metrics import adjusted_rand
-from triagelake.operators.partials import spread, sum_over_rows
+from triagelake.operators.partials import ROWS_PER_TASK, spread, sum_over_rows
 
 # Word pattern and vocabulary limits.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -45,10 +45,10 @@ def vocabulary(
     Document and total counts are both summed per term with map-side combine, so the shuffle
     carries each task's different terms only, not documents x terms. Ties go by the term.
     """
-    seen = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    stats = terms.select(F.inline(F.concat(seen, once))).groupBy("term").agg(
-        F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    counted = lambda column, tf, df: terms.select(F.explode(column).alias("term")).groupBy("term").agg(
+        F.sum(F.lit(tf)).alias("tf"), F.sum(F.lit(df)).alias("df"))
+    both = counted(F.col("terms"), 1, 0).unionByName(counted(F.array_distinct("terms"), 0, 1))
+    stats = both.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     return (
         stats.where((F.col("df") >= min_docs) & (F.col("df") <= max_share * n_docs))
         .orderBy(F.col("tf").desc(), "term").limit(max_terms)
@@ -62,11 +62,15 @@ def tfidf(
 ) -> DataFrame:
     """(doc, term, weight): (1 + ln tf) x smoothed idf, unit length per document.
 
-    Two passes over the text: the vocabulary, then the counts of its terms alone.
+    First the vocabulary, then the counts of its terms alone. Texts of a small corpus (few row
+    groups) are spread over all cores first; a large one is read where it lies.
     """
     stop = default_stop_words() if stop_words is None else stop_words
+    n_docs, cores = docs.count(), docs.sparkSession.sparkContext.defaultParallelism
+    if n_docs < cores * ROWS_PER_TASK:
+        docs = docs.select(doc_id, text).repartition(cores, doc_id)
     terms = document_terms(docs, doc_id, text, stop)
-    chosen = vocabulary(terms, docs.count(), min_docs=min_docs, max_share=max_share, max_terms=max_terms)
+    chosen = vocabulary(terms, n_docs, min_docs=min_docs, max_share=max_share, max_terms=max_terms)
     # At most max_terms rows, so the hint is safe.
     counts = terms.select(doc_id, F.explode("terms").alias("term")).join(F.broadcast(chosen), "term").groupBy(
         doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
