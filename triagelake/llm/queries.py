@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import mixing, quality, secrets, urls
+from triagelake.llm import bpe, mixing, quality, secrets, urls
 from triagelake.llm.common import table
 
 
@@ -17,6 +18,12 @@ def op1_secrets(spark, d):
         F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256"), secrets.shown(F.col("spans")).alias("spans"))
 
 
+def op2_bpe(spark, d):
+    """Byte-level BPE ids of every whole document text, and their decoding."""
+    path = bpe.ship(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(table(spark, d, "documents", "doc_id", "text"), path)
+
+
 def op6_mixing(spark, d):
     """All documents mixed to the targets of their sources."""
     return mixing.mix(table(spark, d, "documents", "doc_id", "text", "source")).select(
@@ -34,5 +41,5 @@ def op9_urls(spark, d):
     return urls.judge(table(spark, d, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "ratio")
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls}
+QUERIES = {"op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls}
 ORACLE: dict[str, str] = {}
