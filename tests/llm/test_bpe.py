@@ -66,8 +66,11 @@ def test_whole_table(spark, library):
         assert r["decoded_sha256"] == hashlib.sha256(docs[r["doc_id"]].encode()).hexdigest()
 
 
-def test_touched_neighbours_only_change(library):
+def test_replay_of_words(library):
     merges = bpe.load(PATH)
-    words = [b"banana", b"nana", b"an", b"", b"x"][:3] + [b"x"]
-    assert merges.replay(words) == [tuple(library.encode_ordinary(w.decode())) for w in words]
+    words = [b"banana", b"", b"aaaaaaa", b"x", b"abababab", "é🙂é".encode(), b"mississippi"]
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    ids, counts = merges.replay(np.frombuffer(b"".join(words), np.uint8), offsets)
+    want = [library.encode_ordinary(w.decode()) for w in words]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
     assert np.array_equal(merges.decode(np.array([], np.int64))[1], [0])

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import os
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,13 +14,11 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from triagelake.llm.common import pieces, strings, utf8
+from triagelake.llm.common import concat_ranges, pieces, strings, utf8
 
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
 #: White_Space of Unicode.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Distinct words whose ids a worker remembers between slices.
-REMEMBERED = 400_000
 
 
 def local_file(name: str) -> str:
@@ -107,98 +103,112 @@ class Merges:
     """Ranks of a vocabulary file and the replay of its merges over a set of words."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
-        self.byte = [ranks[bytes([b])] for b in range(256)]
         self.width = len(self.token)
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         # Every way to put a token together from two others; the pair's rank is that of the whole.
-        self.pair = {
-            ranks[t[:i]] * self.width + ranks[t[i:]]: r
-            for t, r in ranks.items() if len(t) > 1 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
-        }
-        self.bytes_pair = np.full((256, 256), -1, np.int64)
-        for t, r in ranks.items():
-            if len(t) == 2:
-                self.bytes_pair[t[0], t[1]] = r
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of each word.
-
-        All words lie on one line of positions. An inverted index lists the positions of the pairs of
-        each rank; the lowest rank is taken again and again, merged wherever its pair still stands,
-        and only the two neighbouring pairs of a merge are looked up and indexed anew.
+        pairs = np.array(sorted(
+            (ranks[t[:i]] * self.width + ranks[t[i:]], r)
+            for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks), np.int64).reshape(-1, 2)
+        self.pair_key, self.pair_rank = np.append(pairs[:, 0], np.iinfo(np.int64).max), np.append(pairs[:, 1], -1)
+        # Postings are kept by bands of ranks; a band is emptied before the next one is opened.
+        self.bounds = np.unique(np.geomspace(8, self.width, 40).astype(np.int64))
+        self.bounds[-1] = self.width
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, -1 where no merge puts them together."""
+        key = left * self.width + right
+        at = np.searchsorted(self.pair_key, key)
+        return np.where(self.pair_key[at] == key, self.pair_rank[at], -1)
+
+    def replay(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words raw[offsets[i]:offsets[i + 1]], in a row, and how many each word has.
+
+        All words lie on one line of positions. An inverted index holds, for each band of pair ranks, the
+        positions where such a pair starts. The lowest band is opened; in each word that has postings in
+        it, the pair of lowest rank is merged (every occurrence, from the left), and only the pairs on both
+        sides of a merge are looked up and indexed anew. So a word's merges happen in rank order.
         """
-        if not words:
-            return []
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum(lengths)
         n = len(raw)
-        rank = np.full(n, -1, np.int64)
-        rank[:-1] = self.bytes_pair[raw[:-1], raw[1:]]
-        rank[ends - 1] = -1
-        held = np.flatnonzero(rank >= 0)
-        order = held[np.argsort(rank[held], kind="stable")]
-        cuts = np.flatnonzero(np.diff(rank[order])) + 1
-        index: defaultdict[int, list[int]] = defaultdict(list)
-        for part in np.split(order, cuts) if len(order) else []:
-            index[int(rank[part[0]])] = part.tolist()
-        heap = list(index)
-        heapq.heapify(heap)
-        token = np.asarray(self.byte, np.int64)[raw].tolist()
-        now = rank.tolist()
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        for e, s in zip((ends - 1).tolist(), (ends - lengths).tolist(), strict=True):
-            after[e] = -1
-            before[s] = -1
-        pair, width = self.pair.get, self.width
-        while heap:
-            r = heapq.heappop(heap)
-            places = index.pop(r)
-            places.sort()
-            for p in places:
-                if now[p] != r:
-                    continue
-                q = after[p]
-                token[p] = r
-                now[q] = -2  # gone
-                nxt = after[p] = after[q]
-                if nxt >= 0:
-                    before[nxt] = p
-                    k = pair(r * width + token[nxt], -1)
-                    now[p] = k
-                    if k >= 0:
-                        if k not in index:
-                            heapq.heappush(heap, k)
-                        index[k].append(p)
-                else:
-                    now[p] = -1
-                m = before[p]
-                if m >= 0:
-                    k = pair(token[m] * width + r, -1)
-                    now[m] = k
-                    if k >= 0:
-                        if k not in index:
-                            heapq.heappush(heap, k)
-                        index[k].append(m)
-        left = np.asarray(now) != -2
-        ids = np.asarray(token, np.int64)[left].tolist()
-        counts = np.add.reduceat(left.astype(np.int64), ends - lengths)
-        stops = np.cumsum(counts).tolist()
-        return [tuple(ids[a:b]) for a, b in zip([0, *stops], stops, strict=False)]
-
-    def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """As :meth:`replay`, for words some of which the worker has met before."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [w for w in words if w not in known]
-        known.update(zip(new, self.replay(new), strict=True))
-        return [known[w] for w in words]
+        if not n:
+            return np.zeros(0, np.int64), np.diff(offsets)
+        lengths = np.diff(offsets)
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        token = self.byte[raw]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        filled = lengths > 0
+        after[offsets[1:][filled] - 1] = -1
+        before[offsets[:-1][filled]] = -1
+        now = np.full(n, -1, np.int64)
+        inner = np.flatnonzero(after >= 0)
+        now[inner] = self.pair(token[inner], token[inner + 1])
+        index: list[list[np.ndarray]] = [[] for _ in self.bounds]
+        lowest = 0
+
+        def post(places: np.ndarray) -> None:
+            nonlocal lowest
+            places = places[now[places] >= 0]
+            if not len(places):
+                return
+            band = np.searchsorted(self.bounds, now[places], side="right")
+            order = np.argsort(band, kind="stable")
+            cuts = np.flatnonzero(np.diff(band[order])) + 1
+            for part in np.split(order, cuts):
+                index[band[part[0]]].append(places[part])
+            lowest = min(lowest, int(band[order[0]]))
+
+        post(inner)
+        while lowest < len(index):
+            if not index[lowest]:
+                lowest += 1
+                continue
+            places = np.concatenate(index[lowest])
+            index[lowest] = []
+            rank = now[places]
+            low = self.bounds[lowest - 1] if lowest else 0
+            fit = (rank >= low) & (rank < self.bounds[lowest])
+            places, rank = places[fit], rank[fit]
+            if not len(places):
+                continue
+            order = np.lexsort((places, rank, word[places]))
+            places, rank = places[order], rank[order]
+            once = np.append(True, places[1:] != places[:-1])
+            places, rank = places[once], rank[once]
+            own = word[places]
+            head = np.append(True, own[1:] != own[:-1])
+            least = rank[head][np.cumsum(head) - 1]
+            chosen = rank == least
+            rest, p, r = places[~chosen], places[chosen], rank[chosen]
+            if len(rest):
+                index[lowest].append(rest)
+            # Of overlapping occurrences (aaa) every other one counts, from the left.
+            chained = np.append(False, after[p[:-1]] == p[1:])
+            number = np.arange(len(p))
+            begin = np.maximum.accumulate(np.where(chained, 0, number))
+            keep = (number - begin) % 2 == 0
+            p, r = p[keep], r[keep]
+            q = after[p]
+            right = after[q]
+            token[p] = r
+            now[q] = -2  # merged away
+            after[p] = right
+            open_right = right >= 0
+            before[right[open_right]] = p[open_right]
+            now[p[~open_right]] = -1
+            # A right neighbour may itself have just been merged: links and tokens are all set by now.
+            at = p[open_right]
+            now[at] = self.pair(token[at], token[after[at]])
+            left = before[p]
+            side = left >= 0
+            left = left[side]
+            now[left] = self.pair(token[left], token[p[side]])
+            post(np.concatenate([at, left]))
+        stays = now != -2
+        counts = np.zeros(len(lengths), np.int64)
+        counts += np.bincount(word[stays], minlength=len(lengths))
+        return token[stays], counts
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of all ids and the len + 1 offsets between them."""
@@ -227,14 +237,13 @@ def encode_texts(text: pa.StringArray, merges: Merges) -> tuple[np.ndarray, np.n
     """Ids of all texts in a row, and the len + 1 offsets of the texts in them."""
     words, per_doc = split_words(text)
     coded = words.dictionary_encode()
-    found = merges.encode([w.encode() for w in coded.dictionary.to_pylist()])
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
-    held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
-    taken = held.take(coded.indices)
-    ids = taken.values.to_numpy(zero_copy_only=False) if len(taken) else np.zeros(0, np.int32)
-    at_word = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy(zero_copy_only=False)])])
-    return ids[: at_word[-1]], at_word[np.concatenate([[0], np.cumsum(per_doc)])]
+    data, offsets = utf8(coded.dictionary)
+    flat, sizes = merges.replay(np.frombuffer(data, np.uint8), offsets)
+    starts = np.cumsum(sizes) - sizes
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    ids = flat[concat_ranges(starts[which], sizes[which])]
+    at_word = np.concatenate([[0], np.cumsum(sizes[which])])
+    return ids, at_word[np.concatenate([[0], np.cumsum(per_doc)])]
 
 
 def _encoded(path: str, key: str):
