@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, mixing, quality, secrets, urls
+from triagelake.llm import bpe, mixing, quality, secrets, simple8b, urls
 from triagelake.llm.common import table
 
 
@@ -24,6 +24,13 @@ def op2_bpe(spark, d):
     return bpe.digests(table(spark, d, "documents", "doc_id", "text"), path)
 
 
+def op5_simple8b(spark, d):
+    """Word-BPE ids of every whole document text, written to Simple-8b files and read back."""
+    path = bpe.ship(spark, public_tokenizers.path("word_bpe_49k.json"))
+    folder = simple8b.write_ids(table(spark, d, "documents", "doc_id", "text"), simple8b.shared_folder(spark, "ids"), path)
+    return simple8b.read_ids(spark, folder, digest=True)
+
+
 def op6_mixing(spark, d):
     """All documents mixed to the targets of their sources."""
     return mixing.mix(table(spark, d, "documents", "doc_id", "text", "source")).select(
@@ -41,5 +48,5 @@ def op9_urls(spark, d):
     return urls.judge(table(spark, d, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "ratio")
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls}
+QUERIES = {"op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op5_simple8b": op5_simple8b, "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls}
 ORACLE: dict[str, str] = {}
