@@ -128,8 +128,9 @@ def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
     forms, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     core = pc.ascii_rtrim(forms, ".,")
     simple = pc.match_substring_regex(core, "^[a-z]+$")
-    head = pc.if_else(simple, core, forms)
-    tail_size = pc.if_else(simple, pc.subtract(pc.binary_length(forms), pc.binary_length(core)), 0).to_numpy(zero_copy_only=False)
+    cut = pc.match_substring_regex(core, r"\p{L}$")
+    head = pc.if_else(cut, core, forms)
+    tail_size = pc.if_else(cut, pc.subtract(pc.binary_length(forms), pc.binary_length(core)), 0).to_numpy(zero_copy_only=False)
     flags = simple.to_numpy(zero_copy_only=False).astype(bool)
     tails = [f[len(f) - n :] for f, n in zip(forms.filter(pa.array(tail_size > 0)).to_pylist(), tail_size[tail_size > 0].tolist(), strict=True)]
     known_tails = sorted(set(tails))
@@ -140,22 +141,26 @@ def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
         part = plain.encode(" ".join(letters[i : i + 2000]), add_special_tokens=False)
         flat.append(np.array(part.ids, np.int64))
         sizes.append(np.bincount(np.array(part.word_ids, np.int64), minlength=min(2000, len(letters) - i)))
-    others = head.filter(pa.array(~flags)).to_pylist() + known_tails
+    rest = head.filter(pa.array(~flags)).dictionary_encode()
+    others = rest.dictionary.to_pylist() + known_tails
     more, more_sizes = _lists([e.ids for e in full.encode_batch_fast(others, add_special_tokens=False)])
     flat, sizes = np.concatenate([*flat, more]), np.concatenate([*sizes, more_sizes]).astype(np.int64)
-    # Parts: plain heads, then other forms, then tails, then nothing. A form is a head and a tail.
-    n_plain, n_other = len(letters), int((~flags).sum())
+    # Parts: plain heads, then other heads, then tails, then nothing. A form is a head and a tail.
+    n_plain, n_other = len(letters), len(rest.dictionary)
     first = np.empty(len(forms), np.int64)
     first[flags] = heads.indices.to_numpy(zero_copy_only=False)
-    first[~flags] = n_plain + np.arange(n_other)
+    first[~flags] = n_plain + rest.indices.to_numpy(zero_copy_only=False)
     second = np.full(len(forms), len(sizes), np.int64)
     number = {t: n_plain + n_other + i for i, t in enumerate(known_tails)}
     second[tail_size > 0] = [number[t] for t in tails]
     sizes = np.append(sizes, 0)
     starts = np.cumsum(sizes) - sizes
-    parts = np.stack([first[which], second[which]], axis=1).ravel()
-    ids = flat[concat_ranges(starts[parts], sizes[parts])]
-    per_form = (sizes[first] + sizes[second])[which]
+    parts = np.stack([first, second], axis=1).ravel()
+    flat = flat[concat_ranges(starts[parts], sizes[parts])].astype(np.int32)
+    size = sizes[first] + sizes[second]
+    start = np.cumsum(size) - size
+    per_form = size[which]
+    ids = flat[concat_ranges(start[which], per_form)]
     ends = np.concatenate([[0], np.cumsum(per_form)])[np.concatenate([[0], np.cumsum(per_text)])]
     return ids, np.diff(ends)
 
@@ -177,7 +182,7 @@ def _pages(path: str, end_id: int, block: int):
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in PAGE.split(", ")]), len(ids)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=16_000_000):
             ids, counts = token_ids(batch.column("text"), path)
             ends = np.cumsum(counts)
             whole = np.full(len(ids) + len(counts), end_id, np.int64)
