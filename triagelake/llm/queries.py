@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, mixing, quality, secrets, simple8b, urls
+from triagelake.llm import bpe, langid, mixing, quality, secrets, simple8b, toxicity, urls
 from triagelake.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op2_bpe(spark, d):
     return bpe.digests(table(spark, d, "documents", "doc_id", "text"), path)
 
 
+def op3_toxicity(spark, d):
+    """Toxicity of every whole document text by its nearest labelled examples."""
+    labels = table(spark, d, "labels", "doc_id", "toxic")
+    return toxicity.classify(table(spark, d, "documents", "doc_id", "text"), labels)
+
+
 def op5_simple8b(spark, d):
     """Word-BPE ids of every whole document text, written to Simple-8b files and read back."""
     path = bpe.ship(spark, public_tokenizers.path("word_bpe_49k.json"))
@@ -48,5 +54,13 @@ def op9_urls(spark, d):
     return urls.judge(table(spark, d, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "ratio")
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op5_simple8b": op5_simple8b, "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls}
+def op10_langid(spark, d):
+    """Language of every whole document text, learned from the other folds."""
+    return langid.identify(table(spark, d, "documents", "doc_id", "text", "lang"))
+
+
+QUERIES = {
+    "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op5_simple8b": op5_simple8b,
+    "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
+}
 ORACLE: dict[str, str] = {}
