@@ -7,7 +7,7 @@ import numpy as np
 
 from triagelake.llm import queries, toxicity
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def test_index_equals_brute_force():

@@ -96,8 +96,7 @@ class Model:
     toxic: np.ndarray
     weight: np.ndarray
     prior: float
-    slope: float
-    shift: float
+    coefficients: np.ndarray
     nothing: float  # score of a text with no known term
     k: int
     doubt: float
@@ -180,7 +179,9 @@ def _vectors(sent):
             docs, terms, n = counted(batch.column("text"), known)
             at = np.searchsorted(docs, np.arange(batch.num_rows + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(v.astype(np.int64))) for v in (terms, n)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *lists], ["doc_id", "toxic", "terms", "n"])
+            words = pc.list_value_length(pc.ascii_split_whitespace(batch.column("text"))).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), *lists, words], ["doc_id", "toxic", "terms", "n", "words"])
 
     return run
 
@@ -199,24 +200,36 @@ def vote(model: Model, terms: np.ndarray, weights: np.ndarray) -> tuple[float, n
     return float(share), found
 
 
-def platt(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of a logistic fit of y on x with weights and slightly shrunk targets."""
+def signs(share: float, n: np.ndarray, words: int) -> np.ndarray:
+    """What the calibration sees: the vote, the number of known terms behind it, the length, and a constant."""
+    vote_, times = logit(share), np.log1p(n.sum())
+    return np.array([vote_, vote_ * times, times, np.log1p(words), 1.0])
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Weighted ridge-logistic fit of y on the rows of x, with slightly shrunk targets (Platt)."""
     pos, neg = (w * y).sum(), (w * (1 - y)).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    beta = np.array([1.0, 0.0])
-    design = np.stack([x, np.ones_like(x)], axis=1)
+    beta = np.zeros(x.shape[1])
+    beta[0] = 1.0
+    ridge = np.full(x.shape[1], 0.1)
+    start = beta.copy()
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (w * (target - p)) - 1e-3 * beta
-        hess = (design * (w * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        beta = beta + step
+        p = chance(x @ beta)
+        grad = x.T @ (w * (target - p)) - ridge * (beta - start)
+        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + np.diag(ridge), grad)
+        beta = beta + step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
-    return float(max(beta[0], 0.0)), float(beta[1])
+    return beta
+
+
+def chance(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def logit(p):
+    p = min(max(p, 1e-6), 1 - 1e-6)
     return np.log(p / (1 - p))
 
 
@@ -269,9 +282,9 @@ def fit(
           .groupBy("number").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
     order = {doc_id: h for doc_id, h, _ in chosen}
-    vectors = sample.mapInArrow(_vectors(sent), "doc_id long, toxic boolean, terms array<long>, n array<long>").collect()
+    vectors = sample.mapInArrow(_vectors(sent), "doc_id long, toxic boolean, terms array<long>, n array<long>, words long").collect()
     vectors = sorted({(r["doc_id"], r["toxic"]): r for r in vectors}.values(), key=lambda r: (order.get(r["doc_id"], 0), r["doc_id"], r["toxic"]))
-    held = [(r["doc_id"], r["toxic"], t := np.array(r["terms"], np.int64), weigh(t, np.array(r["n"], np.int64), idf)) for r in vectors]
+    held = [(r["doc_id"], r["toxic"], t := np.array(r["terms"], np.int64), weigh(t, n := np.array(r["n"], np.int64), idf), n, r["words"]) for r in vectors]
     split: dict[bool, list] = {True: [], False: []}
     for row in held:
         split[row[1]].append(row)
@@ -285,16 +298,16 @@ def fit(
     scale = max(per.values()) or 1.0
     model = Model(
         terms, idf, BlockMaxIndex.build([(r[2], r[3]) for r in inside], len(terms)), np.array([r[0] for r in inside], np.int64),
-        np.array([float(r[1]) for r in inside]), np.array([per[r[1]] / scale for r in inside]), prior, 1.0, 0.0, prior, k, doubt * min(per.values(), default=1) / scale)
+        np.array([float(r[1]) for r in inside]), np.array([per[r[1]] / scale for r in inside]), prior, np.array([1.0, 0, 0, 0, 0]), prior, k, doubt * min(per.values(), default=1) / scale)
     share = {label: totals.get(label, 0) / max(1, len(split[label]) - cut[label]) for label in split}
     if outside:
         y, w = np.array([float(r[1]) for r in outside]), np.array([share[r[1]] for r in outside])
         blank = np.array([len(r[2]) == 0 for r in outside])
         model.nothing = float(((w * y)[blank].sum() + prior) / (w[blank].sum() + 1))
         if (~blank).any():
-            x = np.array([logit(vote(model, r[2], r[3])[0]) for r in outside if len(r[2])])
+            x = np.array([signs(vote(model, r[2], r[3])[0], r[4], r[5]) for r in outside if len(r[2])])
             w = w[~blank]
-            model.slope, model.shift = platt(x, y[~blank], w / w.mean())
+            model.coefficients = calibrate(x, y[~blank], w / w.mean())
     return model
 
 
@@ -305,12 +318,13 @@ def _scores(sent, key: str):
         for batch in pieces(batches):
             docs, terms, n = counted(batch.column("text"), known)
             at = np.searchsorted(docs, np.arange(batch.num_rows + 1))
+            words = pc.list_value_length(pc.ascii_split_whitespace(batch.column("text"))).to_numpy(zero_copy_only=False)
             score = np.full(batch.num_rows, model.nothing)
             near: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for i in np.flatnonzero(np.diff(at)).tolist():
                 own = slice(at[i], at[i + 1])
                 share, found = vote(model, terms[own], weigh(terms[own], n[own], model.idf))
-                score[i] = 1 / (1 + np.exp(-np.clip(model.slope * logit(share) + model.shift, -30, 30)))
+                score[i] = chance(signs(share, n[own], int(words[i])) @ model.coefficients)
                 near[i] = model.example_ids[found].tolist()
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(score), pa.array(near, pa.list_(pa.int64()))], [key, "score", "evidence"])
 
