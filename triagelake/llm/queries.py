@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, langid, mixing, quality, secrets, simple8b, toxicity, urls
+from triagelake.llm import bpe, langid, minhash, mixing, quality, secrets, simple8b, toxicity, urls
 from triagelake.llm.common import table
 
 
@@ -43,6 +43,11 @@ def op6_mixing(spark, d):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_minhash(spark, d):
+    """Near-duplicate groups of all whole document texts."""
+    return minhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"))
+
+
 def op8_quality(spark, d):
     """Quality rules over every whole document text."""
     return quality.judge(table(spark, d, "documents", "doc_id", "text")).select(
@@ -61,6 +66,6 @@ def op10_langid(spark, d):
 
 QUERIES = {
     "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op5_simple8b": op5_simple8b,
-    "op6_mixing": op6_mixing, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
+    "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
 }
 ORACLE: dict[str, str] = {}
