@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,7 +92,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", *, buckets: int
     return Model(languages, log_prob, np.log(docs / docs.sum()) if len(docs) else docs, buckets)
 
 
-def _predictions(model, key: str, weight_of: int):
+def _predictions(model, keep: list[str], weight_of: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in pieces(batches):
@@ -115,13 +115,14 @@ def _predictions(model, key: str, weight_of: int):
                 names[lettered] = np.array(own.languages, object)[best]
                 scores[lettered] = odds[np.arange(len(best)), best] / odds.sum(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(names, pa.string()), pa.array(scores)], [key, "lang_pred", "score"])
+                [*[batch.column(f"_keep_{c}") for c in keep], pa.array(names, pa.string()), pa.array(scores)], [*keep, "lang_pred", "score"])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", *, weight_of: int = 100) -> DataFrame:
-    """(key, lang_pred, score) for every whole text; ``und`` and 0 for texts that are null or have no letter.
+def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text: str = "text", *, weight_of: int = 100) -> DataFrame:
+    """The ``keep`` columns, lang_pred and score for every whole text; ``und`` and 0 for texts that are null or
+    have no letter.
 
     The model is broadcast: its size is set by ``buckets`` and the number of languages. Null keys and
     repeated rows keep their rows; a model without languages answers ``und``; an empty table gives an empty
@@ -129,10 +130,10 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(
-        F.col(key).alias(key), F.col(text).cast("string").alias("text"),
+        *[F.col(c).alias(f"_keep_{c}") for c in keep], F.col(text).cast("string").alias("text"),
         F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(_predictions(sent, key, weight_of), f"`{key}` {kind}, lang_pred string, score double")
+    kinds = [f"`{c}` {rows.schema[i].dataType.simpleString()}" for i, c in enumerate(keep)]
+    return rows.mapInArrow(_predictions(sent, list(keep), weight_of), ", ".join([*kinds, "lang_pred string", "score double"]))
 
 
 def fold(key: str, parts: int):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, langid, minhash, mixing, quality, secrets, simple8b, toxicity, urls
+from triagelake.llm import bpe, langid, minhash, mixing, quality, secrets, simhash, simple8b, toxicity, urls
 from triagelake.llm.common import table
 
 
@@ -30,6 +31,18 @@ def op3_toxicity(spark, d):
     return toxicity.classify(table(spark, d, "documents", "doc_id", "text"), labels)
 
 
+def simhash_columns(found):
+    """The fingerprints of ``simhash.with_edits`` as text."""
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", simhash.shown(F.col("a"), F.col("b")).alias("fingerprint"),
+        simhash.shown(F.col("edited_a"), F.col("edited_b")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op4_simhash(spark, d):
+    """Fingerprints of every whole document text and of its edited text."""
+    return simhash_columns(simhash.with_edits(table(spark, d, "documents", "doc_id", "text")))
+
+
 def op5_simple8b(spark, d):
     """Word-BPE ids of every whole document text, written to Simple-8b files and read back."""
     path = bpe.ship(spark, public_tokenizers.path("word_bpe_49k.json"))
@@ -65,7 +78,8 @@ def op10_langid(spark, d):
 
 
 QUERIES = {
-    "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op5_simple8b": op5_simple8b,
-    "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
+    "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op4_simhash": op4_simhash,
+    "op5_simple8b": op5_simple8b,     "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {}
