@@ -26,6 +26,8 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 BLOCK = 256
 PAGE_IDS = 1 << 18
+#: Distinct strings whose ids a worker keeps from task to task.
+REMEMBERED = 400_000
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,6 +116,32 @@ def _lists(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([i for ids in found for i in ids], np.int64), sizes
 
 
+class Memo:
+    """Ids of distinct strings a worker has met, up to ``REMEMBERED`` of them, as columns."""
+
+    def __init__(self):
+        self.words, self.flat, self.sizes = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids(self, words: pa.StringArray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and their number for each word; ``encode`` gives those of the words not met before."""
+        at = pc.index_in(words, value_set=self.words)
+        unknown = at.is_null()
+        new = words.filter(unknown)
+        flat, sizes = encode(new.to_pylist())
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        flat, sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        if len(sizes) <= REMEMBERED:
+            self.words, self.flat, self.sizes = pa.concat_arrays([self.words, new]), flat, sizes
+        starts = np.cumsum(sizes) - sizes
+        return flat[concat_ranges(starts[place], sizes[place])], sizes[place]
+
+
+@lru_cache(maxsize=2)
+def memos(path: str) -> tuple[Memo, Memo]:
+    return Memo(), Memo()
+
+
 def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts as the tokenizers library gives them, and their number in each text.
 
@@ -135,18 +163,25 @@ def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
     tails = [f[len(f) - n :] for f, n in zip(forms.filter(pa.array(tail_size > 0)).to_pylist(), tail_size[tail_size > 0].tolist(), strict=True)]
     known_tails = sorted(set(tails))
     heads = head.filter(pa.array(flags)).dictionary_encode()
-    letters = heads.dictionary.to_pylist()
-    flat, sizes = [], []
-    for i in range(0, len(letters), 2000):
-        part = plain.encode(" ".join(letters[i : i + 2000]), add_special_tokens=False)
-        flat.append(np.array(part.ids, np.int64))
-        sizes.append(np.bincount(np.array(part.word_ids, np.int64), minlength=min(2000, len(letters) - i)))
     rest = head.filter(pa.array(~flags)).dictionary_encode()
-    others = rest.dictionary.to_pylist() + known_tails
-    more, more_sizes = _lists([e.ids for e in full.encode_batch_fast(others, add_special_tokens=False)])
-    flat, sizes = np.concatenate([*flat, more]), np.concatenate([*sizes, more_sizes]).astype(np.int64)
+
+    def encode_plain(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(0, len(words), 2000):
+            part = plain.encode(" ".join(words[i : i + 2000]), add_special_tokens=False)
+            flat.append(np.array(part.ids, np.int64))
+            sizes.append(np.bincount(np.array(part.word_ids, np.int64), minlength=min(2000, len(words) - i)))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def encode_full(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _lists([e.ids for e in full.encode_batch_fast(words, add_special_tokens=False)])
+
+    known_plain, known_full = memos(path)
+    flat, sizes = known_plain.ids(heads.dictionary, encode_plain)
+    more, more_sizes = known_full.ids(pa.concat_arrays([rest.dictionary, pa.array(known_tails, pa.string())]), encode_full)
+    flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, more_sizes]).astype(np.int64)
     # Parts: plain heads, then other heads, then tails, then nothing. A form is a head and a tail.
-    n_plain, n_other = len(letters), len(rest.dictionary)
+    n_plain, n_other = len(heads.dictionary), len(rest.dictionary)
     first = np.empty(len(forms), np.int64)
     first[flags] = heads.indices.to_numpy(zero_copy_only=False)
     first[~flags] = n_plain + rest.indices.to_numpy(zero_copy_only=False)
