@@ -12,7 +12,7 @@ def test_det_rand_is_md5_and_ignores_partitioning(spark):
     many = spark.range(50).repartition(8).select("id", det_rand(7, "id").alias("u"))
     a, b = ({r.id: r.u for r in df.collect()} for df in (one, many))
     assert a == b
-    assert a[3] == int(hashlib.md5(b"7|3").hexdigest()[:8], 16) / 2**32
+    assert a[3] == int(hashlib.md5(b"7|3").hexdigest()[:13], 16) / 2**52
 
 
 def test_number_rows_orders_a_hot_value_by_id(spark):
@@ -52,3 +52,12 @@ def test_exact_quantiles_match_numpy_with_weights(spark):
 
 def test_in_parallel_keeps_order(spark):
     assert in_parallel(lambda: spark.range(3).count(), lambda: spark.range(5).count()) == [3, 5]
+
+
+def test_quantiles_of_odd_tables(spark):
+    empty = spark.createDataFrame([], "k string, v double")
+    assert exact_quantiles(empty, [], "v", [0.5]).where("quantile IS NOT NULL").count() == 0
+    blank = spark.createDataFrame([("a", None), ("b", None)], "k string, v double")
+    assert exact_quantiles(blank, ["k"], "v", [0.5]).count() == 0
+    ends = spark.createDataFrame([("a", float("inf")), ("a", 1.0), ("a", float("-inf"))], "k string, v double")
+    assert exact_quantiles(ends, ["k"], "v", [0.5]).first()["quantile"] == 1.0

@@ -3,6 +3,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from triagelake.operators import cohort, graph, links
 from triagelake.sources import assets, documents, flows, receipts
@@ -119,3 +120,34 @@ def test_receipt_rows(spark, tmp_path):
     head = json.loads([r.body for r in back if r.part == "run"][0])
     assert head == {"project": "p", "status": "DRY", "seed": 8414, "metrics": {"rows": 3, "ap": 0.5}, "offline": True}
     assert sorted(json.loads(r.body)["file"] for r in back if r.part == "source") == ["a", "b"]
+
+
+def test_broken_documents_fail(spark):
+    log = '[{"s1": [{"eventid": "a"}]}, {"s2": []}]'
+    good = spark.createDataFrame([("d", log)], "doc_id string, value string")
+    assert documents.parse_session_log(good).count() == 2
+    for text in ("not json", log[:-9], log[:-1], "", "{}"):
+        bad = spark.createDataFrame([("d", text)], "doc_id string, value string")
+        with pytest.raises(Exception, match="not a valid session log"):
+            documents.parse_session_log(bad).collect()
+    lines = spark.createDataFrame([("d", '{"s1": [{"eventid": "a"}]}'), ("d", ""), ("d", '{"s2": []}')], "doc_id string, value string")
+    assert sorted(r.session_id for r in documents.parse_session_lines(lines).collect()) == ["s1", "s2"]
+    with pytest.raises(Exception, match="not a valid session line"):
+        documents.parse_session_lines(lines.withColumn("value", F.concat("value", F.lit("x{")))).collect()
+
+
+def test_parent_without_children_is_a_node(spark):
+    text = '{"bomFormat": "CycloneDX", "components": [{"bom-ref": "x"}], "dependencies": [{"ref": "ghost", "dependsOn": []}]}'
+    nodes, edges = documents.parse_bom(spark.createDataFrame([(1, text)], "doc_id int, value string"))
+    assert {(r.node, r.component_type) for r in nodes.collect()} == {("x", "unknown"), ("ghost", "unresolved")}
+    assert edges.count() == 0
+
+
+def test_manifests_are_whole_and_ordered(spark):
+    entry = '{"project": "p", "filename": "f", "sha256": "%s", "bytes": 1}'
+    rows = [("b", bytearray(('{"entries": [' + entry % "new" + "]}").encode())), ("a", bytearray(('{"entries": [' + ",".join([entry % "old"] * 3) + "]}").encode()))]
+    files = spark.createDataFrame(rows, "path string, content binary")
+    assert [r.sha256 for r in assets.parse_manifest(files).collect()] == ["new"]
+    cut = spark.createDataFrame([("a", rows[0][1][:-4])], "path string, content binary")
+    with pytest.raises(Exception, match="not a valid manifest"):
+        assets.parse_manifest(cut).collect()

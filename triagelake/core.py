@@ -28,17 +28,20 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def det_rand(seed: int | str, *keys: Column | str) -> Column:
-    """Uniform [0, 1) double that depends only on ``seed`` and the keys, never on partitioning."""
+    """Uniform [0, 1) double that depends only on ``seed`` and the keys, never on partitioning.
+
+    It has 52 random bits, so floor(number * n) reaches every slot of tables of up to 2^52 rows.
+    """
     parts = [F.lit(str(seed))]
     parts += [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    head = F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 8)
-    return F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0)
+    head = F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 13)
+    return F.conv(head, 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
 def det_rand_sql(seed: int | str, *keys: str) -> str:
     """The same number in plain SQL (for cross-checks)."""
     parts = ", ".join([f"'{seed}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
-    return f"(('0x' || left(md5(concat_ws('|', {parts})), 8))::BIGINT / 4294967296.0::DOUBLE)"
+    return f"(('0x' || left(md5(concat_ws('|', {parts})), 13))::BIGINT / {float(1 << 52)!r}::DOUBLE)"
 
 
 def finite(column: Column | str) -> Column:
@@ -95,7 +98,9 @@ def value_buckets(
     bounds = (df if like is None else like).select(F.col(value).cast("double").alias("v")).approxQuantile(
         "v", probs, 1.0 / (4 * parts)
     )
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
+    # Infinite bounds and a table without values leave no inner bound; Bucketizer needs one.
+    inner = sorted({b for b in bounds if abs(b) != float("inf")}) or [0.0]
+    splits = [float("-inf"), *inner, float("inf")]
     cast = df.withColumn("_as_double", F.col(value).cast("double"))
     return (
         Bucketizer(splits=splits, inputCol="_as_double", outputCol=name, handleInvalid="error")

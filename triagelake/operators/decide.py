@@ -16,6 +16,12 @@ from triagelake.operators.metrics import ranking_metrics
 UTILITY_BUDGETS = (0.02, 0.05, 0.10, 0.20)
 CURVE_BUDGETS = (0.01, 0.02, 0.05, 0.10, 0.15, 0.20)
 
+# The sentence that explains a decision.
+WHY = (
+    "Winner: '%s' queue — mean recall %.3f vs %.3f (+%.3f) over budgets (%s), "
+    "measured against the held-out '%s' outcome the scoring rule did not author."
+)
+
 
 def budget_rows(total: int, budget: float) -> int:
     """Review slots a budget buys: at least one, else rounded up."""
@@ -110,11 +116,7 @@ def decide_by_argmax(
         F.coalesce(F.nth_value("utility", 2).over(everything), F.first("utility").over(everything)).alias("_u2"),
     )
     budgets = ", ".join(str(b) for b in utility_budgets) + ("," if len(utility_budgets) == 1 else "")
-    why = F.format_string(
-        "Winner: '%s' queue — mean recall %.3f vs %.3f (+%.3f) over budgets (" + budgets
-        + "), measured against the held-out '" + proxy + "' outcome the scoring rule did not author.",
-        "_lead", "_u1", "_u2", F.col("_u1") - F.col("_u2"),
-    )
+    why = F.format_string(WHY, "_lead", "_u1", "_u2", F.col("_u1") - F.col("_u2"), F.lit(budgets), F.lit(proxy))
     columns = F.array(*[F.lit(c) for c in queues.values()])
     return placed.select(
         "queue", "queue_no", F.get(columns, F.col("queue_no")).alias("score_column"), "utility", "place",

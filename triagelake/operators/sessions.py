@@ -22,7 +22,9 @@ def session_features(log: DataFrame) -> DataFrame:
     """
     real = F.col("pos").isNotNull()
     event = F.when(real, F.coalesce("eventid", F.lit("")))
-    stamp = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
+    # A bare time of day would be cast to today's date.
+    dated = F.when(F.col("timestamp").rlike(r"^\s*\d{4,}-"), F.col("timestamp"))
+    stamp = F.unix_micros(dated.try_cast("timestamp"))
     protocol = F.when(real, F.coalesce(F.nullif("protocol", F.lit("")), F.lit("unknown")))
     count_of = lambda needle: F.count_if(event.contains(needle))
     seconds = (F.max(stamp) - F.min(stamp)) / F.lit(1e6)

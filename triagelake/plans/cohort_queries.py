@@ -13,7 +13,7 @@ from triagelake.plans import roles
 
 P = roles.PRIORITIES
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-REPS = 20
+REPS = 500
 
 
 def _matrix(spark, d):

@@ -78,7 +78,7 @@ def q_catalog_scan(spark, d):
         F.lit("dateAdded"), F.date_format("o_orderdate", "yyyy-MM-dd"))
     docs = o.select(F.col("o_orderkey").alias("doc_id"), F.to_json(F.struct(
         F.lit("2026.07").alias("catalogVersion"), F.array(entry).alias("vulnerabilities"))).alias("value"))
-    return documents.parse_catalog(docs).withColumn("dateAdded", F.date_format("dateAdded", "yyyy-MM-dd"))
+    return documents.parse_catalog(docs).drop("entry").withColumn("dateAdded", F.date_format("dateAdded", "yyyy-MM-dd"))
 
 
 def q_session_log_scan(spark, d):

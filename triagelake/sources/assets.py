@@ -29,7 +29,9 @@ def digest(assets: DataFrame) -> DataFrame:
 
 
 def parse_manifest(files: DataFrame, expected_sha256: str | None = None) -> DataFrame:
-    """Manifest entries from manifest files with ``content``; the last repeat of a key wins (A4).
+    """Manifest entries from manifest files with ``content``; the last repeat of a key, by file path and place, wins (A4).
+
+    A file that does not parse to its end fails the job.
 
     With ``expected_sha256`` a manifest with other bytes fails the job.
     """
@@ -37,8 +39,12 @@ def parse_manifest(files: DataFrame, expected_sha256: str | None = None) -> Data
     if expected_sha256 is not None:
         text = F.when(F.sha2("content", 256) == expected_sha256, text).otherwise(
             F.raise_error(F.lit("manifest SHA-256 mismatch")))
-    entries = files.select(F.posexplode(F.from_json(text, MANIFEST_SCHEMA)["entries"]).alias("pos", "e"))
-    return entries.groupBy("e.project", "e.filename").agg(F.max_by("e", "pos").alias("e")).select("e.*")
+    name = F.col("path").cast("string") if "path" in files.columns else F.lit("")
+    parsed = F.from_json(text, MANIFEST_SCHEMA)["entries"]
+    closed = parsed.isNotNull() & text.rlike(r"(?s)\}\s*$")
+    checked = F.when(closed, parsed).otherwise(F.raise_error(F.concat(F.lit("not a valid manifest: "), name)))
+    entries = files.select(name.alias("file"), F.posexplode(checked).alias("pos", "e"))
+    return entries.groupBy("e.project", "e.filename").agg(F.max_by("e", F.struct("file", "pos")).alias("e")).select("e.*")
 
 
 def verify_assets(assets: DataFrame, manifest: DataFrame, *, max_bytes: int = MAX_BYTES, strict: bool = False) -> DataFrame:

@@ -46,12 +46,15 @@ def _parsed(documents: DataFrame, schema: str, required: Column, what: str) -> D
 
 
 def parse_catalog(documents: DataFrame, fields: tuple[str, ...] = ("cveID", "shortDescription")) -> DataFrame:
-    """Exploited-vulnerability catalog: one row per entry, ``dateAdded`` as a UTC timestamp."""
+    """Exploited-vulnerability catalog: one row per entry, ``dateAdded`` as a UTC timestamp.
+
+    ``entry`` holds every field of the entry as text; ``fields`` are columns of their own.
+    """
     d = _parsed(documents, CATALOG_SCHEMA, F.col("d.vulnerabilities").isNotNull(), "catalog")
     v = d.select("doc_id", F.col("d.catalogVersion").alias("catalog_version"), F.posexplode("d.vulnerabilities").alias("pos", "v"))
     return v.select(
         "doc_id", "catalog_version", "pos", *[F.try_element_at("v", F.lit(f)).alias(f) for f in fields],
-        F.try_element_at("v", F.lit("dateAdded")).cast("timestamp").alias("dateAdded"))
+        F.try_element_at("v", F.lit("dateAdded")).cast("timestamp").alias("dateAdded"), F.col("v").alias("entry"))
 
 
 def catalog_version(documents: DataFrame) -> DataFrame:
@@ -65,7 +68,27 @@ def parse_session_log(documents: DataFrame) -> DataFrame:
     A document is a JSON array of one-key objects; only the first key of an object counts. The
     order in the array is the event order. A session without events keeps one row, ``pos`` NULL.
     """
-    groups = documents.select("doc_id", F.explode(F.from_json("value", f"array<map<string,array<{EVENT}>>>")).alias("g"))
+    log = documents.select("doc_id", "value", F.from_json("value", f"array<map<string,array<{EVENT}>>>").alias("g"))
+    # A truncated log parses to its first objects: its text must also close the array it opened.
+    whole = F.col("g").isNotNull() & ~F.exists("g", lambda m: m.isNull()) & F.col("value").rlike(r"(?s)^\s*\[.*\]\s*$")
+    checked = F.when(whole, F.col("g")).otherwise(
+        F.raise_error(F.concat(F.lit("not a valid session log: "), F.col("doc_id").cast("string"))))
+    groups = log.select("doc_id", F.explode(checked).alias("g"))
+    return _sessions(groups)
+
+
+def parse_session_lines(lines: DataFrame) -> DataFrame:
+    """As :func:`parse_session_log` for line-delimited logs: a row's ``value`` is one session object.
+
+    Lines are read in parallel (``spark.read.text``), so a large day is not one task; blank lines are skipped.
+    """
+    log = lines.where(F.trim("value") != "").select("doc_id", F.from_json("value", f"map<string,array<{EVENT}>>").alias("g"))
+    checked = F.when(F.size(F.coalesce(F.map_keys("g"), F.array().cast("array<string>"))) > 0, F.col("g")).otherwise(
+        F.raise_error(F.concat(F.lit("not a valid session line: "), F.col("doc_id").cast("string"))))
+    return _sessions(log.select("doc_id", checked.alias("g")))
+
+
+def _sessions(groups: DataFrame) -> DataFrame:
     entry = F.get(F.map_entries("g"), F.lit(0))
     one = groups.select("doc_id", entry["key"].alias("session_id"), entry["value"].alias("events"))
     return one.select("doc_id", "session_id", F.posexplode_outer("events").alias("pos", "e")).select(
@@ -86,6 +109,12 @@ def parse_bom(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         "doc_id", "pos", "node", F.coalesce("c.name", "node").alias("name"), F.coalesce("c.version", F.lit("")).alias("version"),
         F.coalesce("c.purl", F.lit("")).alias("purl"), F.coalesce("c.type", F.lit("unknown")).alias("component_type"))
     deps = d.select("doc_id", F.explode("d.dependencies").alias("p"))
+    # References that no component lists come last, so a parent without children is not lost.
+    refs = deps.select("doc_id", F.col("p.ref").alias("node")).where("node IS NOT NULL AND node != ''").distinct()
+    missing = refs.join(nodes.select("doc_id", "node"), ["doc_id", "node"], "left_anti").select(
+        "doc_id", F.lit(None).cast("int").alias("pos"), "node", F.col("node").alias("name"), F.lit("").alias("version"),
+        F.lit("").alias("purl"), F.lit("unresolved").alias("component_type"))
+    nodes = nodes.unionByName(missing)
     edges = deps.select("doc_id", F.col("p.ref").alias("src"), F.explode("p.dependsOn").alias("dst")).distinct()
     return nodes, edges
 
