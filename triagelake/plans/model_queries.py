@@ -50,7 +50,7 @@ def q_silhouette(spark, d):
 
 def _kmeans(spark, d):
     return cluster.kmeans_select(
-        _embedded(spark, d), "vec_id", [f"e{i}" for i in range(DIMS)], n_init=5, log1p=False, scale=False)
+        _embedded(spark, d), "vec_id", [f"e{i}" for i in range(DIMS)], log1p=False, scale=False)
 
 
 def q_kmeans_scores(spark, d):
@@ -100,7 +100,7 @@ def _posture_matrix(spark, d):
 
 def q_posture_predict(spark, d):
     m = _posture_matrix(spark, d)
-    model = posture.fit_reference(m, "repository", roles.PRIORITIES, 3, starts=4)
+    model = posture.fit_reference(m, "repository", roles.PRIORITIES, 3)
     return posture.predict_reference(model, m, "repository", roles.PRIORITIES)
 
 
