@@ -46,3 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="triagelake-checkpoints-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to executors whose Python does not have it (a wheel or PYTHONPATH does the same)."""
+    import shutil
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="triagelake-package-")) / "triagelake"
+    spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
