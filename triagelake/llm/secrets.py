@@ -14,19 +14,24 @@ from triagelake.llm.common import let, text_of
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern whose matches count if group ``group`` has at least ``least`` code points."""
+    """A pattern whose matches count if group ``group`` has at least ``least`` code points.
+
+    ``strict``, where given, matches just those of them, so texts need not list all short matches.
+    """
 
     name: str
     pattern: str
     least: int
     group: int = 0
+    strict: str | None = None
 
 
 #: The base kinds, in the order that breaks ties.
 BASE = (
     Kind("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
-    Kind("access", r"AKIA[A-Z0-9]+", 16),
-    Kind("hex", r"[0-9a-f]+", 32),
+    # A run's first AKIA takes the rest of the run, and a run of hex digits is one match: both have a strict form.
+    Kind("access", r"AKIA[A-Z0-9]+", 16, strict=r"AKIA[A-Z0-9]{12,}"),
+    Kind("hex", r"[0-9a-f]+", 32, strict=r"[0-9a-f]{32,}"),
 )
 
 
@@ -59,6 +64,8 @@ ALLOWED = (
     r"^[0-9+/_=-]+$",
 )
 SCALE = 1 << 20
+#: Matches are placed in runs of this many; growing one array of all would cost the square of their number.
+RUN = 128
 
 
 def _placed(text: Column, pattern: str, group: int = 0) -> Column:
@@ -68,8 +75,9 @@ def _placed(text: Column, pattern: str, group: int = 0) -> Column:
     gaps = F.split(text, pattern, -1)
 
     def walk(parts: Column) -> Column:
+        """Length of a run, and its matches placed from its start."""
         empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-        done = F.aggregate(
+        return F.aggregate(
             parts,
             F.struct(F.lit(0).cast("long").alias("at"), empty.alias("found")),
             lambda acc, x: let(acc["at"] + F.char_length(x["gap"]), lambda start: F.struct(
@@ -78,11 +86,20 @@ def _placed(text: Column, pattern: str, group: int = 0) -> Column:
                     start.alias("start"), (start + F.char_length(x["whole"])).alias("end"), x["value"].alias("value")))
                 ).alias("found"))),
         )
-        return done["found"]
+
+    def joined(runs: Column) -> Column:
+        starts = F.aggregate(
+            runs, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"])))
+        return F.flatten(F.zip_with(runs, F.slice(starts, 1, F.size(runs)), lambda x, at: F.transform(
+            x["found"], lambda m: F.struct((m["start"] + at).alias("start"), (m["end"] + at).alias("end"), m["value"].alias("value")))))
+
+    def runs_of(parts: Column) -> Column:
+        last = F.floor((F.size(parts) - 1) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda r: walk(F.slice(parts, r * RUN + 1, F.lit(RUN))))
 
     zipped = F.arrays_zip(
         F.slice(gaps, 1, F.greatest(F.size(whole), F.lit(1))).alias("gap"), whole.alias("whole"), value.alias("value"))
-    return let(zipped, walk)
+    return let(zipped, lambda parts: let(runs_of(parts), joined))
 
 
 def _numbered(spans: Column, kind: int, shift: Column | None = None) -> Column:
@@ -177,15 +194,14 @@ def scan(
     """
     kind_span = "array<struct<start:bigint,kind:int,end:bigint>>"
     rows = docs.select(F.col(key).alias("doc_id"), *keep, text_of(text).alias("_text"))
-    probes = [(f"_k{i}", k.pattern if k.group else f"{k.pattern.removesuffix('+')}{{{max(1, k.least - (4 if k.name == 'access' else 0))},}}"
-               if k.name in ("access", "hex") else k.pattern) for i, k in enumerate(base)]
+    probes = [(f"_k{i}", k.strict or k.pattern) for i, k in enumerate(base)]
     rows = rows.select("*", *[F.regexp_instr("_text", F.lit(p)).alias(n) for n, p in probes],
                        F.regexp_instr("_text", F.lit(CANDIDATE)).alias("_kc"))
     none = F.array().cast(kind_span)
     parts = []
     for i, kind in enumerate(base):
         long_enough = F.filter(
-            _placed(F.col("_text"), kind.pattern, kind.group), lambda x: F.char_length(x["value"]) >= kind.least)  # noqa: B023
+            _placed(F.col("_text"), kind.strict or kind.pattern, kind.group), lambda x: F.char_length(x["value"]) >= kind.least)  # noqa: B023
         found = _numbered(long_enough, i)
         parts.append(F.when(F.col(f"_k{i}") > 0, found).otherwise(none).alias(f"_b{i}"))
     rows = rows.select(
