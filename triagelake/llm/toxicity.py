@@ -72,16 +72,19 @@ class BlockMaxIndex:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for at in range(0, len(order), 4):
-            opened = order[at : at + 4]
+        at, step = 0, 4
+        while at < len(order):
+            opened = order[at : at + step]
             if len(scores) == k and bound[opened[0]] * (1 + 1e-9) < scores[-1]:
                 break
+            at, step = at + step, 2 * step
             lows, sizes = self.ptr[terms[:, None], opened], self.ptr[terms[:, None], opened + 1] - self.ptr[terms[:, None], opened]
             where = concat_ranges(lows.ravel(), sizes.ravel())
             part = self.weight[where] * np.repeat(np.repeat(weights, len(opened)), sizes.ravel())
-            hit, inverse = np.unique(self.example[where], return_inverse=True)
+            total = np.bincount(self.example[where], part, self.n)
+            hit = np.flatnonzero(total)
             found = np.concatenate([found, hit])
-            scores = np.concatenate([scores, np.bincount(inverse, part, len(hit))])
+            scores = np.concatenate([scores, total[hit]])
             best = np.lexsort((found, -scores))[:k]
             found, scores = found[best], scores[best]
         return found, scores
