@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.core import cut as cut_to_files
-from triagelake.llm.common import concat_ranges, pieces
+from triagelake.llm.common import pieces
 from triagelake.llm.langid import fold
 
 TERM = re.compile(r"[^\W\d_]+")
@@ -33,35 +33,38 @@ def terms_of(text: str) -> Iterator[str]:
                 yield word[:n] + "*"
 
 
+#: Weights that one step of a search reads at most, unless a single block has more.
+STEP_WEIGHTS = 1 << 18
+
+
 @dataclass
 class BlockMaxIndex:
-    """Postings of unit vectors by term, in blocks of neighbouring examples with their largest weights."""
+    """Postings of unit vectors by term, in blocks of neighbouring examples with their largest weights.
+
+    A block of a term with any posting has one row of weights, a place for each of its examples; blocks
+    without postings share the first row, all zeros. At most (terms x blocks + 1) rows.
+    """
 
     n: int
-    n_terms: int
     block: int
-    example: np.ndarray
-    weight: np.ndarray
-    ptr: np.ndarray = field(repr=False)  # (terms, blocks + 1): where the postings of a block begin
+    rows: np.ndarray = field(repr=False)  # (rows, block): weights
+    row: np.ndarray = field(repr=False)  # (terms, blocks): number of the row of weights
     most: np.ndarray = field(repr=False)  # (terms, blocks): largest weight in the block
 
     @classmethod
-    def build(cls, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 64) -> BlockMaxIndex:
-        """``rows``: (terms, weights) of each example, terms distinct."""
-        n, blocks = len(rows), max(1, -(-len(rows) // block))
-        example = np.repeat(np.arange(n), [len(t) for t, _ in rows]) if n else np.zeros(0, np.int64)
-        term = np.concatenate([t for t, _ in rows]).astype(np.int64) if n else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in rows]) if n else np.zeros(0)
-        order = np.lexsort((example, term))
-        example, term, weight = example[order], term[order], weight[order]
-        cell = term * blocks + example // block
-        most = np.zeros(n_terms * blocks)
-        np.maximum.at(most, cell, weight)
-        bounds = np.searchsorted(cell, np.arange(n_terms * blocks + 1))
-        ptr = np.empty((n_terms, blocks + 1), np.int64)
-        ptr[:, :-1] = bounds[:-1].reshape(n_terms, blocks)
-        ptr[:, -1] = bounds[blocks::blocks]
-        return cls(n, n_terms, block, example, weight, ptr, most.reshape(n_terms, blocks))
+    def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 64) -> BlockMaxIndex:
+        """``vectors``: (terms, weights) of each example, terms distinct."""
+        n, blocks = len(vectors), max(1, -(-len(vectors) // block))
+        example = np.repeat(np.arange(n), [len(t) for t, _ in vectors]) if n else np.zeros(0, np.int64)
+        term = np.concatenate([t for t, _ in vectors]).astype(np.int64) if n else np.zeros(0, np.int64)
+        weight = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
+        cells, place = np.unique(term * blocks + example // block, return_inverse=True)
+        row = np.zeros(n_terms * blocks, np.int64)
+        row[cells] = np.arange(1, len(cells) + 1)
+        rows = np.zeros((len(cells) + 1, block))
+        rows[place + 1, example % block] = weight
+        row = row.reshape(n_terms, blocks)
+        return cls(n, block, rows, row, rows.max(axis=1)[row])
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples with the largest positive dot products; ties go to the lower number.
@@ -72,18 +75,19 @@ class BlockMaxIndex:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
+        at, step, widest = 0, 4, max(1, STEP_WEIGHTS // (self.block * max(1, len(terms))))
         while at < len(order):
-            opened = order[at : at + step]
+            opened = order[at : at + min(step, widest)]
             if len(scores) == k and bound[opened[0]] * (1 + 1e-9) < scores[-1]:
                 break
-            at, step = at + step, 2 * step
-            lows, sizes = self.ptr[terms[:, None], opened], self.ptr[terms[:, None], opened + 1] - self.ptr[terms[:, None], opened]
-            where = concat_ranges(lows.ravel(), sizes.ravel())
-            part = self.weight[where] * np.repeat(np.repeat(weights, len(opened)), sizes.ravel())
-            total = np.bincount(self.example[where], part, self.n)
-            hit = np.flatnonzero(total)
-            found = np.concatenate([found, hit])
+            at, step = at + len(opened), 2 * step
+            part = self.rows.take(self.row[terms[:, None], opened], axis=0).reshape(len(terms), -1)
+            total = np.einsum("t,tn->n", weights, part)  # term by term, so equal vectors get equal sums
+            hit = np.flatnonzero(total > 0)
+            if len(scores) + len(hit) > k:
+                least = np.partition(np.concatenate([scores, total[hit]]), -k)[-k]
+                hit = hit[total[hit] >= least]
+            found = np.concatenate([found, opened[hit // self.block] * self.block + hit % self.block])
             scores = np.concatenate([scores, total[hit]])
             best = np.lexsort((found, -scores))[:k]
             found, scores = found[best], scores[best]
