@@ -81,10 +81,7 @@ def candidates(spark, d):
 
 
 def requests(spark, d):
-    good = evidence(spark, d)
-    bad = audit.evidence_check(good).select("group_id").distinct()
-    c = candidates(spark, d).join(bad, "group_id", "left_anti")
-    return c.select(
+    return candidates(spark, d).select(
         F.col("candidate_id").alias("request_id"), "group_id",
         F.concat(F.lit("Select two fields of "), F.col("group_id").cast("string")).alias("prompt"), "candidate",
         F.lit(f'{{"selections": {SUPPORTED}}}').alias("fallback"))
@@ -127,7 +124,7 @@ def q_render_selections(spark, d):
 
 
 def q_grounded_choice(spark, d):
-    return audit.grounded_choice(requests(spark, d), evidence(spark, d)).drop("fallback_passed")
+    return audit.grounded_choice(requests(spark, d), evidence(spark, d), strict=False).drop("fallback_passed")
 
 
 def q_control_audit(spark, d):
@@ -243,12 +240,12 @@ SELECT group_id, pos, field, {sentence_sql('action', 'evidence_id', 'field', 'va
     "audit_errors": f"""WITH {AUDIT_SQL} SELECT candidate_id, 1 AS phase, 0::BIGINT AS pos, error FROM err
 UNION ALL SELECT candidate_id, 0, pos, error FROM cand JOIN chk USING (group_id)""",
     "grounded_choice": f"""WITH {AUDIT_SQL},
-fb AS (SELECT group_id, {sentence_sql("'observe'", "'E1'", "'lang'", "v1")} AS a FROM ev WHERE evidence_id = 'E1'),
-fs AS (SELECT group_id, {sentence_sql("'defer'", "'E2'", "'source_name'", "v1")} AS b FROM ev WHERE evidence_id = 'E2')
+fb AS (SELECT group_id, {sentence_sql("'observe'", "'E1'", "'lang'", "v1")} AS a FROM ev WHERE evidence_id = 'E1' AND group_id NOT IN (SELECT group_id FROM chk)),
+fs AS (SELECT group_id, {sentence_sql("'defer'", "'E2'", "'source_name'", "v1")} AS b FROM ev WHERE evidence_id = 'E2' AND group_id NOT IN (SELECT group_id FROM chk))
 SELECT candidate_id AS request_id, CASE WHEN passed THEN rendered_text ELSE a || ' ' || b END AS accepted,
   CASE WHEN passed THEN 'local-language-model-structured-selection' ELSE 'deterministic-selection-after-rejection' END AS mode,
   passed AS candidate_passed, false AS model_authored, sha256('Select two fields of ' || group_id) AS prompt_sha256
-FROM ver JOIN fb USING (group_id) JOIN fs USING (group_id) WHERE record_errors = 0""",
+FROM ver LEFT JOIN fb USING (group_id) LEFT JOIN fs USING (group_id)""",
     "control_audit": f"WITH {CONTROL_SQL} SELECT * FROM ctl",
     "control_summary": f"""WITH {CONTROL_SQL} SELECT avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS audit_accuracy,
 count(*) FILTER (correct) AS controls_passed, count(*) AS audit_cases FROM ctl""",

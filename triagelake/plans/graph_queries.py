@@ -30,13 +30,13 @@ COMPONENTS_SQL = """comp AS (SELECT p_partkey AS node, p_name AS name,
 
 
 def advisories(spark, d):
-    """Advisory ids: suppliers of returned lines of a part, with repeats."""
-    li = roles.table(spark, d, "lineitem").where("l_returnflag = 'R' AND l_quantity > 45")
+    """Advisory ids: suppliers of all lines of a part, with repeats."""
+    li = roles.table(spark, d, "lineitem")
     return li.select(F.col("l_partkey").alias("node"), F.concat(F.lit("ADV-"), F.col("l_suppkey") % 20).alias("id"))
 
 
 ADVISORIES_SQL = """adv AS (SELECT DISTINCT l_partkey AS node, 'ADV-' || (l_suppkey % 20) AS id
-  FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)"""
+  FROM lineitem)"""
 
 
 def q_graph_degrees(spark, d):
@@ -102,8 +102,8 @@ def q_degree_baseline(spark, d):
 
 def q_positional_join(spark, d):
     c = roles.table(spark, d, "conversations")
-    asked = c.where("role = 'user'").select("conv_id", F.floor(F.col("turn") / 2).alias("pos"), F.col("text").alias("query"))
-    told = c.where("role = 'assistant'").select("conv_id", F.floor(F.col("turn") / 2).alias("pos"), F.col("text").alias("result"))
+    asked = c.where("role != 'assistant'").select("conv_id", F.col("turn").alias("pos"), F.col("text").alias("query"))
+    told = c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("pos"), F.col("text").alias("result"))
     return graph.positional_join(asked, told, ["conv_id"], "pos", strict=False).select(
         "conv_id", "pos", F.length("query").alias("query_chars"), F.length("result").alias("result_chars"), "status")
 
@@ -208,8 +208,8 @@ t AS (SELECT node, transitive_dependents AS t, direct_dependents AS d FROM rad J
 pt AS (SELECT t, (sum(n) OVER (ORDER BY t) - n + (n + 1) / 2.0::DOUBLE) / sum(n) OVER () AS pt FROM (SELECT t, count(*) AS n FROM t GROUP BY t) a),
 pd AS (SELECT d, (sum(n) OVER (ORDER BY d) - n + (n + 1) / 2.0::DOUBLE) / sum(n) OVER () AS pd FROM (SELECT d, count(*) AS n FROM t GROUP BY d) a)
 SELECT node, round(0.7::DOUBLE * pt + 0.3::DOUBLE * pd, 6) AS baseline FROM t JOIN pt USING (t) JOIN pd USING (d)""",
-    "positional_join": """WITH q AS (SELECT conv_id, turn // 2 AS pos, text FROM conversations WHERE role = 'user'),
-r AS (SELECT conv_id, turn // 2 AS pos, text FROM conversations WHERE role = 'assistant')
+    "positional_join": """WITH q AS (SELECT conv_id, turn AS pos, text FROM conversations WHERE role <> 'assistant'),
+r AS (SELECT conv_id, turn - 1 AS pos, text FROM conversations WHERE role = 'assistant')
 SELECT conv_id, pos, length(q.text)::INT AS query_chars, length(r.text)::INT AS result_chars,
        CASE WHEN q.text IS NULL THEN 'missing query' WHEN r.text IS NULL THEN 'missing result' ELSE 'matched' END AS status
 FROM q FULL JOIN r USING (conv_id, pos)""",
