@@ -23,7 +23,7 @@ def q_tfidf(spark, d):
 
 
 def _topics(spark, d):
-    return text.nmf_topics(_docs(spark, d), "doc_id", "text", max_rounds=40)
+    return text.nmf_topics(_docs(spark, d), "doc_id", "text")
 
 
 def q_nmf_topics(spark, d):
@@ -107,7 +107,7 @@ def q_posture_predict(spark, d):
 def q_stability_gates(spark, d):
     return posture.stability_gates(
         _posture_matrix(spark, d), "repository", roles.PRIORITIES, selected_k=3, model_search_boundary=False,
-        observation_span_days=30, bootstrap_repeats=8, leave_out=8, starts=2)
+        observation_span_days=30, bootstrap_repeats=80, leave_out=8, starts=12)
 
 
 def q_gate_rules(spark, d):
