@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -215,6 +216,8 @@ def nmf_fit(
             topics[name] = h
         if not moving:
             break
+    else:
+        warnings.warn(f"topic fits {sorted(moving)} still moved after {max_rounds} rounds", RuntimeWarning, stacklevel=2)
     return topics, losses
 
 
