@@ -87,3 +87,16 @@ def test_redaction_and_empty_table(spark):
     out = {r[0]: r[1] for r in secrets.scan(df).select("doc_id", secrets.redacted(F.col("text"), F.col("spans"))).collect()}
     assert out == {1: "a [REDACTED] b", 2: "clean", 3: ""}
     assert secrets.scan(df.limit(0)).count() == 0
+
+
+def test_windows_have_their_own_class(spark):
+    lower, mixed = "k7q2m9x4z8w3v6t1r5p0n2h7", "Zk7Q2m9X4z8W3v6T1r5P0n2H7"
+    cases = [
+        (f"auth={lower}", "entropy_lower:5:29"), (f"/v1/{lower}", "entropy_lower:4:28"), (f"KEY={lower.upper()}", "entropy_upper:4:28"),
+        (f"a {lower}/b+c=9f8e7d6c5b4a39281706f5e4 z", "entropy_lower:2:26,entropy_hex:31:55"),
+        (f"/example/{mixed}", "entropy_mixed:8:34"), (f"{mixed}xxxx{mixed}", "entropy_mixed:0:25,entropy_mixed:29:54"),
+        (f"{mixed[:12]}Sample{mixed[:12]}", ""), (f"Auth={lower}", "entropy_mixed:0:29"),
+    ]
+    df = spark.createDataFrame(list(enumerate(c for c, _ in cases)), "doc_id long, text string")
+    got = {r[0]: r[1] for r in secrets.scan(df).select("doc_id", secrets.shown(F.col("spans"))).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]

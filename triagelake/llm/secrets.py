@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,8 +38,8 @@ BASE = (
 
 @dataclass(frozen=True)
 class CharClass:
-    """Candidates that match ``shape`` belong to the class; a window of ``window`` characters with
-    at least ``bits`` bits of entropy a character marks a secret."""
+    """Longest runs of ``alphabet`` in a candidate that match ``shape`` belong to the class; a window of
+    ``window`` characters with at least ``bits`` bits of entropy a character marks a secret."""
 
     name: str
     alphabet: str
@@ -48,17 +49,22 @@ class CharClass:
 
 
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
-#: The first class that fits a candidate decides. All need a digit: plain long words are no candidates.
+#: A run is scored by each class that fits it; a span inside another one is left out, of equal ones the first
+#: class's stays. All need a digit: plain long words are no candidates.
 CLASSES = (
     CharClass("entropy_hex", DIGITS + "abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", 20, 3.0),
     CharClass("entropy_lower", DIGITS + LOWER + "_-", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])[0-9a-z_-]+$", 20, 3.7),
     CharClass("entropy_upper", DIGITS + LOWER.upper() + "_-", r"^(?=.*[0-9].*[0-9])(?=.*[A-Z])[0-9A-Z_-]+$", 20, 3.7),
     CharClass("entropy_mixed", DIGITS + LOWER + LOWER.upper() + "+/_=-", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 20, 3.9),
 )
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+PLACEHOLDER = r"(?i:example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456789|1234567890|abcdefgh)"
+#: Texts without this have no candidate that counts.
+LONG = r"[A-Za-z0-9+/_=-]{20}"
+#: A placeholder is a match by itself and ends the run before it, so only windows that overlap it are lost.
+CANDIDATE = rf"{PLACEHOLDER}|(?:(?!{PLACEHOLDER})[A-Za-z0-9+/_=-]){{20,}}"
 #: A candidate that one of these finds is no secret (placeholders, paths, identifiers of public form).
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456789|1234567890|abcdefgh",
+    PLACEHOLDER,
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^(?:[A-Za-z]+[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",
     r"^[0-9+/_=-]+$",
@@ -167,14 +173,23 @@ def _entropy(candidates: Column, classes: Sequence[CharClass], allowed: Sequence
     """Spans (start, kind, end) of all candidates of a text; kinds are numbered from ``first``."""
     kind_span = "array<struct<start:bigint,kind:int,end:bigint>>"
 
+    def inside(x: Column, y: Column) -> Column:
+        """Whether ``y`` makes ``x`` superfluous."""
+        covered = (y["start"] <= x["start"]) & (y["end"] >= x["end"])
+        wider = (y["start"] < x["start"]) | (y["end"] > x["end"])
+        return covered & (wider | (y["kind"] < x["kind"]))
+
+    def of_class(candidate: Column, number: int, kind: CharClass) -> Column:
+        run = f"[{''.join(re.escape(c) for c in kind.alphabet)}]{{{kind.window},}}"
+        fitting = F.filter(_placed(candidate["value"], run), lambda x: x["value"].rlike(kind.shape))
+        return F.flatten(F.transform(
+            fitting, lambda x: _numbered(windows(x["value"], kind), first + number, candidate["start"] + x["start"])))
+
     def of(candidate: Column) -> Column:
-        value = candidate["value"]
-        chosen = F.array().cast(kind_span)
-        for number, kind in reversed(list(enumerate(classes))):
-            moved = _numbered(windows(value, kind), first + number, candidate["start"])
-            chosen = F.when(value.rlike(kind.shape), moved).otherwise(chosen)
+        found = F.concat(*[of_class(candidate, number, kind) for number, kind in enumerate(classes)])
+        chosen = let(found, lambda spans: F.filter(spans, lambda x: ~F.exists(spans, lambda y: inside(x, y))))
         for pattern in allowed:
-            chosen = F.when(value.rlike(pattern), F.array().cast(kind_span)).otherwise(chosen)
+            chosen = F.when(candidate["value"].rlike(pattern), F.array().cast(kind_span)).otherwise(chosen)
         return chosen
 
     return F.flatten(F.transform(candidates, of))
@@ -196,7 +211,7 @@ def scan(
     rows = docs.select(F.col(key).alias("doc_id"), *keep, text_of(text).alias("_text"))
     probes = [(f"_k{i}", k.strict or k.pattern) for i, k in enumerate(base)]
     rows = rows.select("*", *[F.regexp_instr("_text", F.lit(p)).alias(n) for n, p in probes],
-                       F.regexp_instr("_text", F.lit(CANDIDATE)).alias("_kc"))
+                       F.regexp_instr("_text", F.lit(LONG)).alias("_kc"))
     none = F.array().cast(kind_span)
     parts = []
     for i, kind in enumerate(base):
@@ -206,7 +221,8 @@ def scan(
         parts.append(F.when(F.col(f"_k{i}") > 0, found).otherwise(none).alias(f"_b{i}"))
     rows = rows.select(
         "doc_id", *keep, "_text", *parts,
-        F.when(F.col("_kc") > 0, _entropy(_placed(F.col("_text"), CANDIDATE), classes, allowed, len(base)))
+        F.when(F.col("_kc") > 0, _entropy(F.filter(
+            _placed(F.col("_text"), CANDIDATE), lambda x: x["value"].rlike(LONG)), classes, allowed, len(base)))
         .otherwise(none).alias("_more"))
     rows = rows.select("doc_id", *keep, "_text", "_more", F.sort_array(F.concat(*[f"_b{i}" for i in range(len(base))])).alias("base"))
     new = F.filter("_more", lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])))
