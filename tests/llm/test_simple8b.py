@@ -75,3 +75,20 @@ def test_whole_table(spark, library):
         ids = [*library.encode(docs[r["doc_id"]], add_special_tokens=False).ids, 1]
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_added_tokens_as_by_the_library_default(spark, monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    texts = [*CASES, "a <|endoftext|> b", "a<|startoftext|>B, c.<|endoftext|>", "<|ENDOFTEXT|> x", "plain words", "<|endoftext|>" * 3, "é<|endoftext|> 1"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [320, 49407, 321] in want
+    ids, counts = simple8b.token_ids(pa.array(texts), PATH, added=True)
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    at = 0
+    for r, w in zip(sorted(queries.op5_simple8b(spark, SF).collect()), want, strict=True):
+        w = [*w, 1]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(w), zlib.crc32(np.array(w, "<u4").tobytes()))
+        at += len(w)

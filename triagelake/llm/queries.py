@@ -46,7 +46,7 @@ def op4_simhash(spark, d):
 def op5_simple8b(spark, d):
     """Word-BPE ids of every whole document text, written to Simple-8b files and read back."""
     path = bpe.ship(spark, public_tokenizers.path("word_bpe_49k.json"))
-    folder = simple8b.write_ids(table(spark, d, "documents", "doc_id", "text"), simple8b.shared_folder(spark, "ids"), path)
+    folder = simple8b.write_ids(table(spark, d, "documents", "doc_id", "text"), simple8b.shared_folder(spark, "ids"), path, added=True)
     return simple8b.read_ids(spark, folder, digest=True)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -95,6 +96,16 @@ def unpack(words: np.ndarray, first: np.ndarray, escapes: np.ndarray, n: int, bl
     return out
 
 
+@lru_cache(maxsize=2)
+def unmodified(path: str):
+    """The library's tokenizer as it loads the file, and a pattern of the added tokens it takes from raw text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(local_file(path))
+    return own, "|".join(re.escape(t.content) for t in own.get_added_tokens_decoder().values())
+
+
 @lru_cache(maxsize=2)
 def tokenizers_of(path: str):
     """The library's tokenizer for text without ASCII white space, and one for single words of plain letters."""
@@ -142,9 +153,31 @@ def memos(path: str) -> tuple[Memo, Memo]:
     return Memo(), Memo()
 
 
-def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(text: pa.StringArray, path: str, added: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts as the tokenizers library gives them, and their number in each text.
 
+    With ``added`` the literal texts of added tokens (such as <|endoftext|>) get the ids of these tokens, as by
+    the library's default: a text that holds one goes to the unmodified tokenizer as a whole. Without it they
+    are plain text, as with ``encode_special_tokens``.
+    """
+    if not added:
+        return plain_ids(text, path)
+    own, marks = unmodified(path)
+    if not marks or not (marked := pc.match_substring_regex(text, marks).to_numpy(zero_copy_only=False).astype(bool)).any():
+        return plain_ids(text, path)
+    flat, counts = plain_ids(text.filter(pa.array(~marked)), path)
+    more, more_counts = _lists([own.encode(t, add_special_tokens=False).ids for t in text.filter(pa.array(marked)).to_pylist()])
+    sizes = np.zeros(len(text), np.int64)
+    sizes[~marked], sizes[marked] = counts, more_counts
+    place = np.zeros(len(text), np.int64)
+    place[~marked] = np.cumsum(counts) - counts
+    place[marked] = len(flat) + np.cumsum(more_counts) - more_counts
+    return np.concatenate([flat, more])[concat_ranges(place, sizes)], sizes
+
+
+def plain_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts, and their number in each text; added tokens are plain text.
+
     The tokenizer drops white space and never joins what it separates, so distinct pieces between
     ASCII white space are encoded once. Pieces of plain letters, with stops or commas behind them,
     need neither normalizer nor split pattern.
@@ -203,7 +236,7 @@ def token_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
 PAGE = "part int, page long, before long, n_ids long, doc_ids array<bigint>, doc_sizes array<bigint>, words binary, first binary, escapes binary"
 
 
-def _pages(path: str, end_id: int, block: int):
+def _pages(path: str, end_id: int, block: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, page, before = TaskContext.get().partitionId(), 0, 0
         keys, sizes, held, waiting = [], [], [], 0
@@ -218,7 +251,7 @@ def _pages(path: str, end_id: int, block: int):
                 [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in PAGE.split(", ")]), len(ids)
 
         for batch in pieces(batches, limit=16_000_000):
-            ids, counts = token_ids(batch.column("text"), path)
+            ids, counts = token_ids(batch.column("text"), path, added)
             ends = np.cumsum(counts)
             whole = np.full(len(ids) + len(counts), end_id, np.int64)
             whole[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
@@ -245,19 +278,20 @@ def _pages(path: str, end_id: int, block: int):
 
 
 def write_ids(
-    docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: str = "text", *, end_id: int = 1, block: int = BLOCK
+    docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: str = "text", *, end_id: int = 1, block: int = BLOCK,
+    added: bool = False,
 ) -> str:
     """Encodes every whole text with the tokenizer file ``path``, appends ``end_id`` and writes files to ``folder``.
 
     Documents are range partitioned by id (equal and null ids, which come first, by a hash of their text as
     well), so files in order of ``part`` hold ascending ids and no id value fills one task. A row of a file is a
     page of whole documents: their ids and sizes, the packed words, the first word of each block, the escapes.
-    A null text is empty and has the end id alone. ``folder`` must be one that all executors share.
+    A null text is empty and has the end id alone. ``added`` is that of :func:`token_ids`. ``folder`` must be one that all executors share.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     placed = rows.repartitionByRange(shuffle_partitions(docs), *order).sortWithinPartitions(*order, "text")
-    placed.mapInArrow(_pages(path, end_id, block), PAGE).write.mode("errorifexists").parquet(folder)
+    placed.mapInArrow(_pages(path, end_id, block, added), PAGE).write.mode("errorifexists").parquet(folder)
     return folder
 
 
