@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, langid, minhash, mixing, quality, secrets, simhash, simple8b, toxicity, urls
+from triagelake.llm import bpe, langid, minhash, mixing, quality, secrets, simhash, simple8b, toxicity, urls, whitening
 from triagelake.llm.common import table
 
 
@@ -77,9 +77,15 @@ def op10_langid(spark, d):
     return langid.identify(table(spark, d, "documents", "doc_id", "text", "lang"))
 
 
+def op11_whitening(spark, d):
+    """Whitened principal coordinates of every usable embedding."""
+    return whitening.whiten(table(spark, d, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op4_simhash": op4_simhash,
-    "op5_simple8b": op5_simple8b,     "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality, "op9_urls": op9_urls, "op10_langid": op10_langid,
+    "op5_simple8b": op5_simple8b, "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality,
+    "op9_urls": op9_urls, "op10_langid": op10_langid, "op11_whitening": op11_whitening,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {}
