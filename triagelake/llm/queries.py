@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from triagelake.llm import bpe, importance, langid, minhash, mixing, quality, secrets, simhash, simple8b, toxicity, urls, whitening
+from triagelake.llm import bpe, importance, langid, minhash, mixing, quality, secrets, sharding, simhash, simple8b, toxicity, urls, whitening
 from triagelake.llm.common import table
 
 
@@ -87,10 +87,16 @@ def op12_importance(spark, d):
     return importance.resample(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "text"))
 
 
+def op13_sharding(spark, d):
+    """All documents in eight shards of near-equal bytes."""
+    return sharding.assign(table(spark, d, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets, "op2_bpe": op2_bpe, "op3_toxicity": op3_toxicity, "op4_simhash": op4_simhash,
     "op5_simple8b": op5_simple8b, "op6_mixing": op6_mixing, "op7_minhash": op7_minhash, "op8_quality": op8_quality,
     "op9_urls": op9_urls, "op10_langid": op10_langid, "op11_whitening": op11_whitening, "op12_importance": op12_importance,
+    "op13_sharding": op13_sharding,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {}
