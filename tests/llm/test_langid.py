@@ -61,3 +61,46 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97, right
     assert np.mean([r["score"] > 0.5 for r in held]) > 0.95
     assert pytest.approx(1.0) == max(r["score"] for r in got)
+
+
+def worker_peak(run) -> float:
+    """Peak resident megabytes a child process adds while it works."""
+    import multiprocessing
+    import resource
+
+    def child(pipe):
+        base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        run()
+        pipe.send((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) / 1024)
+
+    ours, theirs = multiprocessing.Pipe()
+    process = multiprocessing.get_context("fork").Process(target=child, args=(theirs,))
+    process.start()
+    process.join()
+    return ours.recv()
+
+
+@pytest.mark.parametrize("languages, size", [(6, 30_000_000), (60, 6_000_000)])
+def test_memory_of_scoring(languages, size):
+    rng = np.random.default_rng(0)
+    text = "".join(map(chr, rng.integers(97, 123, 1000))) + "éß語 "
+    model = langid.Model([f"l{i}" for i in range(languages)], rng.standard_normal((3 << 14, languages)).astype(np.float32), np.zeros(languages), 1 << 14)
+    texts = pa.array([text * (size // len(text))])
+    assert worker_peak(lambda: langid._text_sums(texts, model)) < 500
+
+
+def test_windows_and_kept_texts(spark):
+    texts = ["", "añb語c", "x", "Ünï" * 7, "", "語" * 9, "ab"]
+    for most in (1, 3, 5, 1000):
+        got = [(n, int(o), int(s)) for n, owner, slots in langid.gram_chunks(pa.array(texts), 64, most) for o, s in zip(owner, slots, strict=True)]
+        want = [(n, int(o), int(s)) for n, owner, slots in langid.gram_chunks(pa.array(texts), 64) for o, s in zip(owner, slots, strict=True)]
+        assert sorted(got) == sorted(want)
+    df = spark.createDataFrame([(1, None, "en"), (2, "the end", "en"), (3, "", "de"), (4, "das ende", "de")], "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    got = sorted(langid.predict(df, model, keep=("doc_id", "text", "lang")).collect())
+    assert [(r["doc_id"], r["text"], r["lang"]) for r in got] == [(1, None, "en"), (2, "the end", "en"), (3, "", "de"), (4, "das ende", "de")]
+    assert [r["lang_pred"] for r in got] == ["und", "en", "und", "de"]
+    with pytest.raises(ValueError, match="score"):
+        langid.predict(df, model, keep=("score",))
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(df, most_languages=1)
