@@ -48,6 +48,19 @@ def test_ids_equal_the_library(library):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_stops_behind_any_letter():
+    """The unmodified library on letters, marks and stops in all orders."""
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    marks = ["İ", "ı", "\u0307", "\u0301", "\u0345", "é", "É", "ß", "Σ", "K", "ǅ", "ﬁ", "語", "\u1112", "\u1161", "\u200d", "٣", "½", ".", ",", ".,", " ", "a", "Z"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    texts += [chr(c) + stop for c in range(0x80, 0x3100) for stop in (".", ",a")]
+    ids, counts = simple8b.token_ids(pa.array(texts), PATH, added=True)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 def test_files_and_edges(spark, library, monkeypatch):
     rows = [(i, t) for i, t in enumerate(CASES)] + [(None, "no id"), (None, None), (3, CASES[3]), (3, None)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, part int")

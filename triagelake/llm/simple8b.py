@@ -179,7 +179,7 @@ def plain_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, and their number in each text; added tokens are plain text.
 
     The tokenizer drops white space and never joins what it separates, so distinct pieces between
-    ASCII white space are encoded once. Pieces of plain letters, with stops or commas behind them,
+    ASCII white space are encoded once. Pieces of plain letters (a-z), with stops or commas behind them,
     need neither normalizer nor split pattern.
     """
     full, plain = tokenizers_of(path)
@@ -189,7 +189,8 @@ def plain_ids(text: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
     forms, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     core = pc.ascii_rtrim(forms, ".,")
     simple = pc.match_substring_regex(core, "^[a-z]+$")
-    cut = pc.match_substring_regex(core, r"\p{L}$")
+    # Only behind a plain letter: others can be lower-cased into a letter and a mark, which joins what follows.
+    cut = pc.match_substring_regex(core, "[a-z]$")
     head = pc.if_else(cut, core, forms)
     tail_size = pc.if_else(cut, pc.subtract(pc.binary_length(forms), pc.binary_length(core)), 0).to_numpy(zero_copy_only=False)
     flags = simple.to_numpy(zero_copy_only=False).astype(bool)
