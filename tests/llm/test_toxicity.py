@@ -55,7 +55,7 @@ def test_edges(spark):
     docs = spark.createDataFrame([(i, t, 1.0) for i, t, _ in rows] + [(None, "awful", 1.0), (500, None, 1.0), (501, "", 1.0), (3, "awful", 0.0)],
                                  "doc_id long, text string, score double")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows if not y or i % 3] + [(None, 1), (7, None), (5, 1)], "doc_id long, toxic int")
-    got = toxicity.classify(docs, labels, least_gain=20.0).collect()
+    got = toxicity.classify(docs, labels).collect()
     assert len(got) == 124
     by = {}
     for r in got:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,14 +12,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from triagelake.core import cut as cut_to_files
-from triagelake.llm.common import pieces
+from triagelake.llm.common import concat_ranges, pieces
 from triagelake.llm.langid import fold
 
 TERM = re.compile(r"[^\W\d_]+")
 #: Marks cut off both ends of a word before it is looked up.
 MARKS = ".,;:!?\"'()[]{}<>*-_/|#&"
+#: Bytes of text that a task works on together.
+PIECE = 2_000_000
 #: Besides whole words, their first letters are terms (written with a *), so inflected forms meet.
 STEMS = (4, 5)
 
@@ -33,78 +34,91 @@ def terms_of(text: str) -> Iterator[str]:
                 yield word[:n] + "*"
 
 
-#: Weights that one step of a search reads at most, unless a single block has more.
-STEP_WEIGHTS = 1 << 18
+#: Blocks a search opens before it compares the others' bounds with what it has found.
+FIRST_BLOCKS = 4
 
 
 @dataclass
 class BlockMaxIndex:
     """Postings of unit vectors by term, in blocks of neighbouring examples with their largest weights.
 
-    A block of a term with any posting has one row of weights, a place for each of its examples; blocks
-    without postings share the first row, all zeros. At most (terms x blocks + 1) rows.
+    A cell is a term's postings in one block; cells lie in order of (term, block), postings in order of (term, example).
     """
 
     n: int
-    block: int
-    rows: np.ndarray = field(repr=False)  # (rows, block): weights
-    row: np.ndarray = field(repr=False)  # (terms, blocks): number of the row of weights
-    most: np.ndarray = field(repr=False)  # (terms, blocks): largest weight in the block
+    blocks: int
+    first: np.ndarray = field(repr=False)  # (terms + 1): first cell of each term
+    cell_block: np.ndarray = field(repr=False)
+    cell_most: np.ndarray = field(repr=False)  # largest weight of the cell
+    cell_start: np.ndarray = field(repr=False)  # (cells + 1): first posting of each cell
+    example: np.ndarray = field(repr=False)
+    weight: np.ndarray = field(repr=False)
 
     @classmethod
     def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 64) -> BlockMaxIndex:
         """``vectors``: (terms, weights) of each example, terms distinct."""
         n, blocks = len(vectors), max(1, -(-len(vectors) // block))
-        example = np.repeat(np.arange(n), [len(t) for t, _ in vectors]) if n else np.zeros(0, np.int64)
+        example = np.repeat(np.arange(n, dtype=np.int64), [len(t) for t, _ in vectors]) if n else np.zeros(0, np.int64)
         term = np.concatenate([t for t, _ in vectors]).astype(np.int64) if n else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
-        cells, place = np.unique(term * blocks + example // block, return_inverse=True)
-        row = np.zeros(n_terms * blocks, np.int64)
-        row[cells] = np.arange(1, len(cells) + 1)
-        rows = np.zeros((len(cells) + 1, block))
-        rows[place + 1, example % block] = weight
-        row = row.reshape(n_terms, blocks)
-        return cls(n, block, rows, row, rows.max(axis=1)[row])
+        order = np.lexsort((example, term))
+        term, example, weight = term[order], example[order], weight[order]
+        cells, start = np.unique(term * blocks + example // block, return_index=True)
+        most = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+        return cls(n, blocks, np.searchsorted(cells, np.arange(n_terms + 1) * blocks), (cells % blocks).astype(np.int32), most,
+                   np.append(start, len(weight)), example.astype(np.int32), weight)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples with the largest positive dot products; ties go to the lower number.
 
-        Blocks are opened in the order of their upper bounds until no closed block can reach the k-th best.
+        The blocks of the highest upper bounds are opened first; of the others only those whose bound reaches the
+        k-th best so far, so no closed block can hold a better one.
         """
-        bound = weights @ self.most[terms] if len(terms) else np.zeros(self.most.shape[1])
+        sizes = self.first[terms + 1] - self.first[terms]
+        cells = concat_ranges(self.first[terms], sizes)
+        own, block = np.repeat(weights, sizes), self.cell_block[cells]
+        bound = np.bincount(block, own * self.cell_most[cells], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step, widest = 0, 4, max(1, STEP_WEIGHTS // (self.block * max(1, len(terms))))
-        while at < len(order):
-            opened = order[at : at + min(step, widest)]
-            if len(scores) == k and bound[opened[0]] * (1 + 1e-9) < scores[-1]:
-                break
-            at, step = at + len(opened), 2 * step
-            part = self.rows.take(self.row[terms[:, None], opened], axis=0).reshape(len(terms), -1)
-            total = np.einsum("t,tn->n", weights, part)  # term by term, so equal vectors get equal sums
-            hit = np.flatnonzero(total > 0)
-            if len(scores) + len(hit) > k:
-                least = np.partition(np.concatenate([scores, total[hit]]), -k)[-k]
-                hit = hit[total[hit] >= least]
-            found = np.concatenate([found, opened[hit // self.block] * self.block + hit % self.block])
-            scores = np.concatenate([scores, total[hit]])
+        lead = max(FIRST_BLOCKS, -(-k * self.blocks // max(1, self.n)))
+        found, scores = self._open(order[:lead], cells, own, block, k)
+        rest = order[lead:]
+        if len(scores) == k:
+            rest = rest[bound[rest] * (1 + 1e-9) >= scores[-1]]
+        if len(rest):
+            more, more_scores = self._open(rest, cells, own, block, k)
+            found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
             best = np.lexsort((found, -scores))[:k]
             found, scores = found[best], scores[best]
         return found, scores
 
+    def _open(self, opened: np.ndarray, cells: np.ndarray, own: np.ndarray, block: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``k`` of the opened blocks; products are added term by term, so equal vectors get equal sums."""
+        is_open = np.zeros(self.blocks, bool)
+        is_open[opened] = True
+        inside = is_open[block]
+        start, stop = self.cell_start[cells[inside]], self.cell_start[cells[inside] + 1]
+        at = concat_ranges(start, stop - start)
+        total = np.bincount(self.example[at], np.repeat(own[inside], stop - start) * self.weight[at], minlength=self.n)
+        hit = np.flatnonzero(total > 0)
+        if len(hit) > k:
+            hit = hit[total[hit] >= np.partition(total[hit], -k)[-k]]
+        best = hit[np.lexsort((hit, -total[hit]))[:k]]
+        return best, total[best]
+
 
 @dataclass
 class Model:
     terms: list[str]
     idf: np.ndarray
     index: BlockMaxIndex
-    example_ids: np.ndarray
+    example_ids: list
     toxic: np.ndarray
     weight: np.ndarray
     prior: float
+    word: np.ndarray  # log odds of each term's own vote, less those of the prior
     coefficients: np.ndarray
-    nothing: float  # score of a text with no known term
+    nothing: float  # score of a text that shares no term with any example
     k: int
     doubt: float
 
@@ -156,69 +170,73 @@ def counted(text: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, np
     return cell // width, cell % width, n
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
-        found: dict[bool, Counter] = defaultdict(Counter)
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            found[toxic].update(set(terms_of(text)))
-        for toxic, terms in found.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(terms), pa.string()), pa.array([toxic] * len(terms)), pa.array(list(terms.values()), pa.int64())], ["term", "toxic", "n"])
+def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, limit=PIECE):
+        found = [Counter(terms_of(text)) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([list(c) for c in found], pa.list_(pa.string())),
+             pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))], ["doc_id", "terms", "n"])
 
 
 def _document_counts(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(sent.value, pa.string())
         df, rows = np.zeros(len(known), np.int64), 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             _, terms, _ = counted(batch.column("text"), known)
             df += np.bincount(terms, minlength=len(df))
             rows += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(df))), pa.array(np.append(rows, df))], ["number", "n"])
+        met = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, met)), pa.array(np.append(rows, df[met]))], ["number", "n"])
 
     return run
 
 
-def _vectors(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(sent.value, pa.string())
-        for batch in pieces(batches):
-            docs, terms, n = counted(batch.column("text"), known)
-            at = np.searchsorted(docs, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(v.astype(np.int64))) for v in (terms, n)]
-            words = pc.list_value_length(pc.ascii_split_whitespace(batch.column("text"))).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), *lists, words], ["doc_id", "toxic", "terms", "n", "words"])
+def weigh(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF weights with a logarithm on the counts."""
+    return (1.0 + np.log(n)) * idf
 
-    return run
 
-
-def weigh(terms: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF weights with a logarithm on the counts."""
-    weight = (1.0 + np.log(n)) * idf[terms]
-    return weight / np.sqrt((weight * weight).sum()) if len(weight) else weight
+def unit(weights: np.ndarray) -> np.ndarray:
+    return weights / np.sqrt((weights * weights).sum()) if len(weights) else weights
 
 
 def vote(model: Model, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray]:
-    """Similarity-weighted share of toxic neighbours, drawn to the prior by ``doubt``; and the neighbours."""
+    """Similarity-weighted share of toxic examples among the nearest, drawn to the prior by ``doubt``; and those examples.
+
+    The votes are weighed by the cosine as a part of the best one. So the length of the text's own vector, in which
+    terms of no example have a part, cancels out; it does not change the order either.
+    """
     found, scores = model.index.top(terms, weights, model.k)
-    pull = scores * model.weight[found]
+    pull = scores / scores[0] * model.weight[found] if len(scores) else scores
     share = ((pull * model.toxic[found]).sum() + model.doubt * model.prior) / (pull.sum() + model.doubt)
     return float(share), found
 
 
-def signs(share: float, n: np.ndarray, words: int) -> np.ndarray:
-    """What the calibration sees: the vote, the number of known terms behind it, the length, and a constant."""
-    vote_, times = logit(share), np.log1p(n.sum())
-    return np.array([vote_, vote_ * times, times, np.log1p(words), 1.0])
+#: Numbers of :func:`signs`.
+SIGNS = 8
+
+
+def signs(model: Model, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the calibration sees of a text, and the examples that voted.
+
+    The vote on the whole text; the three strongest votes on single words, their rising and falling parts; the
+    number of terms; a constant. The vote on a word is that of the text "word" alone: all examples that have it vote,
+    by its weight in them, which is their cosine to it.
+    """
+    share, found = vote(model, terms, weigh(n, model.idf[terms]))
+    words = model.word[terms]
+    strongest = np.sort(np.append(words, [0.0, 0.0, 0.0]))[:-4:-1]
+    root = np.sqrt(max(1, len(words)))
+    return np.array([logit(share) - logit(model.prior), *strongest, np.maximum(words, 0).sum() / root, np.minimum(words, 0).sum() / root,
+                     np.log1p(len(terms)), 1.0]), found
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 100) -> np.ndarray:
-    """Weighted ridge-logistic fit of y on the rows of x, with slightly shrunk targets (Platt)."""
+    """Weighted ridge-logistic fit of y on the rows of x, the last a constant, with slightly shrunk targets (Platt)."""
     pos, neg = (w * y).sum(), (w * (1 - y)).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     beta = np.zeros(x.shape[1])
-    beta[0] = 1.0
     ridge = np.full(x.shape[1], 0.1)
     start = beta.copy()
     for _ in range(rounds):
@@ -236,104 +254,120 @@ def chance(x):
 
 
 def logit(p):
-    p = min(max(p, 1e-6), 1 - 1e-6)
+    p = np.clip(p, 1e-6, 1 - 1e-6)
     return np.log(p / (1 - p))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, examples: int = 2_048, max_terms: int = 4_096,
-    least_gain: float | None = None, k: int = 16, doubt: float = 0.5, seed: str = "toxicity",
+    docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, examples: int = 2_048, k: int = 32, doubt: float = 2.0,
+    word_doubt: float = 0.2, seed: str = "toxicity",
 ) -> Model:
-    """Learns from ``labels`` (doc_id, toxic); rows without id or label are left out.
+    """Learns from ``labels`` (doc_id, toxic); rows without id or label are left out. Ids may have any type.
 
     The bounded sample: of each label at most ``fit_rows`` documents, those with the lowest seeded hashes
-    of their ids, distinct in text. They choose the terms (log-likelihood ratio of at least ``least_gain``
-    with the label, the best ``max_terms``; by default 2 ln(distinct terms) + 8, which chance rarely reaches); the first ``examples`` of each label fill the index, the others
-    calibrate the votes. Document frequencies for the TF-IDF weights are counted over all ``docs``.
+    of their ids, distinct in text. The first ``examples`` of each label (at most half of them) fill the index with all their terms, the others
+    calibrate the votes. Document frequencies for the TF-IDF weights are counted over all ``docs``. A label that fills more documents than
+    the sample keeps its weight: its examples count for as many documents as they stand for.
     """
     spark = docs.sparkSession
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg((F.max("toxic") > 0).alias("toxic"))
     known = known.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     lowest = [known.where(F.col("toxic") == label).orderBy("_h", "doc_id").limit(fit_rows) for label in (True, False)]
-    picked = spark.createDataFrame([tuple(r) for part in lowest for r in part.collect()] or [(None, None, None)], "doc_id long, toxic boolean, _h long")
+    picked = spark.createDataFrame([tuple(r) for part in lowest for r in part.collect()] or [(None, None, None)], f"doc_id {kind}, toxic boolean, _h long")
     texts = rows.join(F.broadcast(picked), "doc_id")  # at most 2 * fit_rows ids
     hashes = texts.select("toxic", "_h", "doc_id", F.xxhash64("text").alias("_t"), F.length("text").alias("_n"))
-    single = hashes.groupBy("_t", "_n", "toxic").agg(F.min(F.struct("_h", "doc_id")).alias("x")).select("x.doc_id", "x._h", "toxic")
-    chosen = [tuple(r) for r in single.collect()]
-    ids = spark.createDataFrame(chosen or [(None, None, None)], "doc_id long, _h long, toxic boolean").select("doc_id", "toxic")
-    sample = rows.join(F.broadcast(ids), "doc_id")
-    n_toxic = max(1, sum(c[2] for c in chosen))
-    n_clean = max(1, len(chosen) - n_toxic)
-    found = sample.select("text", "toxic").mapInArrow(_term_counts, "term string, toxic boolean, n long").groupBy("term").agg(
-        F.coalesce(F.sum(F.when(F.col("toxic"), F.col("n"))), F.lit(0)).alias("a"),
-        F.coalesce(F.sum(F.when(~F.col("toxic"), F.col("n"))), F.lit(0)).alias("b"))
-
-    def part(n, of, rate):
-        seen, rest = n, F.lit(of) - n
-        inner = F.when(seen > 0, seen * F.log(seen / (F.lit(of) * rate))).otherwise(0.0)
-        return inner + F.when(rest > 0, rest * F.log(rest / (F.lit(of) * (1 - rate)))).otherwise(0.0)
-
-    # Repeated ids could count a text more than once, hence the caps at the totals.
-    a, b = F.least("a", F.lit(n_toxic)), F.least("b", F.lit(n_clean))
-    rate = (a + b) / F.lit(n_toxic + n_clean)
-    gain = F.when(rate < 1, 2 * (part(a, n_toxic, rate) + part(b, n_clean, rate))).otherwise(0.0)
-    found = cut_to_files(found.where(F.col("a") + F.col("b") > 1))
-    if least_gain is None:
-        least_gain = 2 * math.log(max(2, found.count())) + 8
-    best = found.withColumn("gain", gain).where(F.col("gain") >= least_gain).orderBy(F.col("gain").desc(), "term").limit(max_terms)
-    terms = sorted(r["term"] for r in best.collect())
-    sent = spark.sparkContext.broadcast(terms)
-    df = {r["number"]: r["n"] for r in rows.select("text").mapInArrow(_document_counts(sent), "number long, n long")
-          .groupBy("number").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    order = {doc_id: h for doc_id, h, _ in chosen}
-    vectors = sample.mapInArrow(_vectors(sent), "doc_id long, toxic boolean, terms array<long>, n array<long>, words long").collect()
-    vectors = sorted({(r["doc_id"], r["toxic"]): r for r in vectors}.values(), key=lambda r: (order.get(r["doc_id"], 0), r["doc_id"], r["toxic"]))
-    held = [(r["doc_id"], r["toxic"], t := np.array(r["terms"], np.int64), weigh(t, n := np.array(r["n"], np.int64), idf), n, r["words"]) for r in vectors]
+    single = hashes.groupBy("_t", "_n", "toxic").agg(F.min(F.struct("_h", "doc_id")).alias("x")).select("x._h", "x.doc_id", "toxic")
     split: dict[bool, list] = {True: [], False: []}
-    for row in held:
-        split[row[1]].append(row)
+    for row in sorted({(r["_h"], r["doc_id"]): r for r in single.collect()}.values(), key=lambda r: (r["_h"], r["doc_id"])):
+        split[row["toxic"]].append(row["doc_id"])
     # Half of a small sample is kept to calibrate.
     cut = {label: min(examples, (len(own) + 1) // 2) for label, own in split.items()}
-    inside = [row for label in (True, False) for row in split[label][: cut[label]]]
-    inside.sort(key=lambda r: (tuple(r[2][np.argsort(-r[3])][:3].tolist()), r[0]))  # like examples share blocks
-    outside = [row for label in (True, False) for row in split[label][cut[label] :]]
+    inside = {i: label for label, own in split.items() for i in own[: cut[label]]}
+    outside = {i: label for label, own in split.items() for i in own[cut[label] :]}
+    drawn = lambda ids: rows.join(F.broadcast(spark.createDataFrame(
+        [(i, y) for i, y in ids.items()] or [(None, None)], f"doc_id {kind}, toxic boolean")), "doc_id")
+    lists = drawn(inside).select("doc_id", "text").mapInArrow(_term_lists, f"doc_id {kind}, terms array<string>, n array<long>").collect()
+    lists = {r["doc_id"]: r for r in sorted(lists, key=lambda r: (len(r["terms"]), r["terms"]))}  # repeated ids: one text
+    terms = sorted({t for r in lists.values() for t in r["terms"]})
+    place = {t: i for i, t in enumerate(terms)}
+    sent = spark.sparkContext.broadcast(terms)  # the distinct terms of at most 2 * examples texts
+    counts = rows.select("text").mapInArrow(_document_counts(sent), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
+    df = np.zeros(len(terms) + 1)
+    df[counts["number"].to_numpy(np.int64)] = counts["n"]  # the last is the number of documents
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    held = []
+    for i, row in lists.items():
+        own = np.fromiter((place[t] for t in row["terms"]), np.int64, len(row["terms"]))
+        order = np.argsort(own)
+        own, n = own[order], np.array(row["n"], np.int64)[order]
+        common = own[np.lexsort((own, -n))][:3]  # texts of like frequent words share blocks
+        held.append((tuple(common.tolist()), str(i), i, own, unit(weigh(n, idf[own]))))
+    held.sort(key=lambda x: x[:2])
+    toxic = np.array([float(inside[x[2]]) for x in held])
     prior = (totals.get(True, 0) + 1) / (totals.get(True, 0) + totals.get(False, 0) + 2)
     per = {label: totals.get(label, 0) / max(1, cut[label]) for label in split}
     scale = max(per.values()) or 1.0
-    model = Model(
-        terms, idf, BlockMaxIndex.build([(r[2], r[3]) for r in inside], len(terms)), np.array([r[0] for r in inside], np.int64),
-        np.array([float(r[1]) for r in inside]), np.array([per[r[1]] / scale for r in inside]), prior, np.array([1.0, 0, 0, 0, 0]), prior, k, doubt * min(per.values(), default=1) / scale)
-    share = {label: totals.get(label, 0) / max(1, len(split[label]) - cut[label]) for label in split}
-    if outside:
-        y, w = np.array([float(r[1]) for r in outside]), np.array([share[r[1]] for r in outside])
-        blank = np.array([len(r[2]) == 0 for r in outside])
+    weight = np.array([per[inside[x[2]]] / scale for x in held])
+    index = BlockMaxIndex.build([(x[3], x[4]) for x in held], len(terms))
+    pull = index.weight * weight[index.example]
+    at = np.repeat(np.arange(len(terms)), np.diff(index.cell_start[index.first]))
+    small = min(per.values(), default=1) / scale
+    yes = np.bincount(at, pull * toxic[index.example], minlength=len(terms)) + word_doubt * small * prior
+    word = logit(yes / (np.bincount(at, pull, minlength=len(terms)) + word_doubt * small)) - logit(prior)
+    start = np.zeros(SIGNS)
+    start[0], start[-1] = 1.0, logit(prior)
+    model = Model(terms, idf, index, [x[2] for x in held], toxic, weight, prior, word, start, prior, k, doubt * small)
+    seen = drawn(outside).mapInArrow(_sample_signs(spark.sparkContext.broadcast(model)), "toxic boolean, terms long, signs array<double>").toPandas()
+    if len(seen):
+        y = seen["toxic"].to_numpy(float)
+        w = np.array([totals.get(bool(v), 0) / max(1, len(split[bool(v)]) - cut[bool(v)]) for v in y])
+        blank = seen["terms"].to_numpy() == 0
         model.nothing = float(((w * y)[blank].sum() + prior) / (w[blank].sum() + 1))
         if (~blank).any():
-            x = np.array([signs(vote(model, r[2], r[3])[0], r[4], r[5]) for r in outside if len(r[2])])
-            w = w[~blank]
-            model.coefficients = calibrate(x, y[~blank], w / w.mean())
+            order = np.lexsort(np.stack(seen["signs"].to_numpy()[~blank]).T)  # whatever the order of tasks
+            x, y, w = np.stack(seen["signs"].to_numpy()[~blank])[order], y[~blank][order], w[~blank][order]
+            model.coefficients = calibrate(x, y, w / w.mean())
     return model
 
 
-def _scores(sent, key: str):
+def _texts(batch: pa.RecordBatch, known: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(terms, counts) of the known terms of each text."""
+    docs, terms, n = counted(batch.column("text"), known)
+    at = np.searchsorted(docs, np.arange(batch.num_rows + 1))
+    for i in range(batch.num_rows):
+        yield terms[at[i] : at[i + 1]], n[at[i] : at[i + 1]]
+
+
+def _sample_signs(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         known = pa.array(model.terms, pa.string())
-        for batch in pieces(batches):
-            docs, terms, n = counted(batch.column("text"), known)
-            at = np.searchsorted(docs, np.arange(batch.num_rows + 1))
-            words = pc.list_value_length(pc.ascii_split_whitespace(batch.column("text"))).to_numpy(zero_copy_only=False)
-            score = np.full(batch.num_rows, model.nothing)
-            near: list[list[int]] = [[] for _ in range(batch.num_rows)]
-            for i in np.flatnonzero(np.diff(at)).tolist():
-                own = slice(at[i], at[i + 1])
-                share, found = vote(model, terms[own], weigh(terms[own], n[own], model.idf))
-                score[i] = chance(signs(share, n[own], int(words[i])) @ model.coefficients)
-                near[i] = model.example_ids[found].tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(score), pa.array(near, pa.list_(pa.int64()))], [key, "score", "evidence"])
+        for batch in pieces(batches, limit=PIECE):
+            found = [(len(t), signs(model, t, n)[0]) for t, n in _texts(batch, known)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array([m for m, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.float64()))],
+                ["toxic", "terms", "signs"])
+
+    return run
+
+
+def _scores(sent, key: str, kind):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        known, ids = pa.array(model.terms, pa.string()), pa.array(model.example_ids, kind)
+        for batch in pieces(batches, limit=PIECE):
+            score, sizes, near = np.full(batch.num_rows, model.nothing), np.zeros(batch.num_rows + 1, np.int32), [np.zeros(0, np.int64)]
+            for i, (terms, n) in enumerate(_texts(batch, known)):
+                if len(terms):
+                    x, found = signs(model, terms, n)
+                    score[i] = chance(x @ model.coefficients)
+                    near.append(found)
+                    sizes[i + 1] = len(found)
+            evidence = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), ids.take(pa.array(np.concatenate(near))))
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(score), evidence], [key, "score", "evidence"])
 
     return run
 
@@ -341,14 +375,15 @@ def _scores(sent, key: str):
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score, evidence): calibrated score of every whole text and the ids of the examples that voted.
 
-    Null texts are empty; a text with no known term gets the score of such texts in the sample. Null keys
+    Null texts are empty; a text that shares no term with any example gets the score of such texts in the sample. Null keys
     and repeated rows keep their rows; an empty table gives an empty result; other columns are not read.
-    The model is bounded by the arguments of :func:`fit` and is broadcast.
+    The model is bounded by the texts that the arguments of :func:`fit` admit, and is broadcast. ``key`` has the type of the ids learned from.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text"))
-    kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(_scores(sent, key), f"`{key}` {kind}, score double, evidence array<bigint>")
+    kind = rows.schema[0].dataType
+    return rows.mapInArrow(
+        _scores(sent, key, to_arrow_type(kind)), f"`{key}` {kind.simpleString()}, score double, evidence array<{kind.simpleString()}>")
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, parts: int = 5, held_out: int = 0, **options) -> DataFrame:
