@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from triagelake import SEED
+from triagelake.core import det_rand_sql
 from triagelake.functions import scalars
 from triagelake.operators import graph, metrics
 from triagelake.plans import roles
 
+PIVOTS = 64  # sources of the sampled betweenness
 ROUNDS = 20  # PageRank rounds in the registered query
 LEVELS = 18  # breadth-first levels in the SQL; the part DAG has at most log2(parts) of them
 
@@ -79,6 +82,12 @@ def q_betweenness(spark, d):
     return b.select("node", F.round("betweenness", 8).alias("betweenness"))
 
 
+def q_betweenness_pivots(spark, d):
+    """Betweenness estimated from PIVOTS seeded sources, with its error."""
+    b = graph.betweenness(*roles.dag(spark, d), sources=PIVOTS)
+    return b.select("node", *[F.round(c, 8).alias(c) for c in ("betweenness", "standard_error", "error_bound")])
+
+
 def q_advisory_join(spark, d):
     out = graph.advisory_join(components(spark, d).select("node"), advisories(spark, d))
     return out.select("node", F.array_join("vulnerability_ids", ",").alias("vulnerability_ids"), "vulnerability_count")
@@ -121,6 +130,7 @@ QUERIES = {
     "dag_check": q_dag_check,
     "pagerank": q_pagerank,
     "betweenness": q_betweenness,
+    "betweenness_pivots": q_betweenness_pivots,
     "advisory_join": q_advisory_join,
     "node_features": q_node_features,
     "degree_baseline": q_degree_baseline,
@@ -153,8 +163,8 @@ def _pagerank_ctes() -> str:
     return ",\n".join(parts)
 
 
-def _betweenness_ctes() -> str:
-    parts = ["l0 AS MATERIALIZED (SELECT node AS s, node AS v, 1.0::DOUBLE AS sigma FROM nodes)",
+def _betweenness_ctes(sources: str = "nodes") -> str:
+    parts = [f"l0 AS MATERIALIZED (SELECT node AS s, node AS v, 1.0::DOUBLE AS sigma FROM {sources})",
              "seen0 AS MATERIALIZED (SELECT s, v FROM l0)"]
     for i in range(1, LEVELS + 1):
         parts.append(f"""l{i} AS MATERIALIZED (SELECT s, dst AS v, sum(sigma) AS sigma FROM l{i - 1} JOIN edges ON v = src
@@ -166,8 +176,9 @@ def _betweenness_ctes() -> str:
   FROM l{i} a LEFT JOIN (SELECT d{i + 1}.*, src FROM d{i + 1} JOIN edges ON v = dst) b ON a.s = b.s AND a.v = b.src
   GROUP BY a.s, a.v, a.sigma)""")
     union = " UNION ALL ".join(f"SELECT v, delta FROM d{i} WHERE s <> v" for i in range(LEVELS + 1))
-    parts.append(f"""bt AS (SELECT node, coalesce(b, 0) / ((SELECT count(*) FROM nodes) - 1) / ((SELECT count(*) FROM nodes) - 2) AS betweenness
-  FROM nodes LEFT JOIN (SELECT v, sum(delta) AS b FROM ({union}) u GROUP BY v) x ON x.v = node)""")
+    parts.append(f"""dp AS MATERIALIZED (SELECT v, sum(delta) AS b, sum(delta * delta) AS b2 FROM ({union}) u GROUP BY v)""")
+    parts.append("""bt AS (SELECT node, coalesce(b, 0) / ((SELECT count(*) FROM nodes) - 1) / ((SELECT count(*) FROM nodes) - 2) AS betweenness
+  FROM nodes LEFT JOIN dp ON dp.v = node)""")
     return ",\n".join(parts)
 
 
@@ -194,6 +205,13 @@ WHERE (src IN (SELECT x FROM onloop) OR EXISTS (SELECT 1 FROM c2 WHERE c2.dst =
   AND (dst IN (SELECT x FROM onloop) OR EXISTS (SELECT 1 FROM c2 WHERE c2.src = e2.dst AND c2.dst IN (SELECT x FROM onloop)))""",
     "pagerank": f"WITH {roles.DAG_SQL}, {_PAGERANK} SELECT node, round(r, 8) AS pagerank FROM r{ROUNDS}",
     "betweenness": f"WITH {roles.DAG_SQL}, {_BETWEENNESS} SELECT node, round(betweenness, 8) AS betweenness FROM bt",
+    "betweenness_pivots": f"""WITH {roles.DAG_SQL},
+piv AS MATERIALIZED (SELECT node FROM nodes ORDER BY {det_rand_sql(SEED, "node")}, node LIMIT {PIVOTS}), {_betweenness_ctes("piv")},
+num AS (SELECT (SELECT count(*) FROM nodes)::DOUBLE AS n, (SELECT count(*) FROM piv)::DOUBLE AS s),
+est AS (SELECT node, coalesce(b, 0) AS b, coalesce(b2, 0) AS b2, n, s, 1 / ((n - 1) * (n - 2)) AS scale FROM nodes LEFT JOIN dp ON dp.v = node, num)
+SELECT node, round(b * n / s * scale, 8) AS betweenness,
+       round(sqrt(greatest((b2 - b * b / s) / (s - 1), 0) * (1 - s / n) / s) * n * scale, 8) AS standard_error,
+       round(n / (n - 1) * sqrt(ln(2 / 0.05::DOUBLE) / (2 * s)), 8) AS error_bound FROM est""",
     "advisory_join": f"""WITH {ADVISORIES_SQL}
 SELECT p_partkey AS node, coalesce(string_agg(id, ',' ORDER BY id), '') AS vulnerability_ids, count(id)::INT AS vulnerability_count
 FROM part LEFT JOIN adv ON node = p_partkey GROUP BY p_partkey""",
