@@ -65,12 +65,13 @@ def degree_baseline(nodes: DataFrame, transitive: str, direct: str) -> DataFrame
     return ranked.withColumn("baseline", F.col("_t") * 0.7 + F.col("_d") * 0.3).drop("_t", "_d")
 
 
-def adjusted_rand(pairs: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
+def adjusted_rand(pairs: DataFrame, keys: Sequence[str], a: str, b: str, weight: str | None = None) -> DataFrame:
     """Adjusted Rand index of two labelings per key.
 
-    The contingency table is made with map-side combine; only its cells are summed further.
+    The contingency table is made with map-side combine; only its cells are summed further. ``weight`` is the
+    number of points a row stands for.
     """
-    cells = pairs.groupBy(*keys, a, b).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    cells = pairs.groupBy(*keys, a, b).agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("double").alias("_n"))
     choose2 = lambda c: F.sum(F.col(c) * (F.col(c) - 1) / 2)
     inner = cells.groupBy(*keys).agg(choose2("_n").alias("_ij"), F.sum("_n").alias("_total"))
     by_a = cells.groupBy(*keys, a).agg(F.sum("_n").alias("_n")).groupBy(*keys).agg(choose2("_n").alias("_a"))

@@ -107,7 +107,7 @@ def q_posture_predict(spark, d):
 def q_stability_gates(spark, d):
     return posture.stability_gates(
         _posture_matrix(spark, d), "repository", roles.PRIORITIES, selected_k=3, model_search_boundary=False,
-        observation_span_days=30, bootstrap_repeats=80, leave_out=8, starts=12)
+        observation_span_days=30, bootstrap_repeats=80, starts=12)
 
 
 def q_gate_rules(spark, d):
