@@ -251,7 +251,7 @@ def _pages(path: str, end_id: int, block: int, added: bool):
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in PAGE.split(", ")]), len(ids)
 
-        for batch in pieces(batches, limit=16_000_000):
+        for batch in pieces(batches, limit=4_000_000):
             ids, counts = token_ids(batch.column("text"), path, added)
             ends = np.cumsum(counts)
             whole = np.full(len(ids) + len(counts), end_id, np.int64)
