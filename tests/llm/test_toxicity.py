@@ -70,7 +70,7 @@ def test_edges(spark):
 def brute_force(docs, labels, model, k):
     """Every text's nearest examples by full cosines of plain dictionaries, and its votes, from the same split."""
     import math
-    bags = {i: Counter(toxicity.terms_of(t or "")) for i, t in docs}
+    bags = {i: Counter(toxicity.TERM.findall((t or "").lower())) for i, t in docs}
     df = Counter(t for bag in bags.values() for t in bag)
     n = len(docs)
     idf = {t: math.log((1 + n) / (1 + c)) + 1 for t, c in df.items()}

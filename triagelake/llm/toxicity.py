@@ -42,20 +42,19 @@ FIRST_BLOCKS = 4
 class BlockMaxIndex:
     """Postings of unit vectors by term, in blocks of neighbouring examples with their largest weights.
 
-    A cell is a term's postings in one block; cells lie in order of (term, block), postings in order of (term, example).
+    Postings lie in order of (term, example); two small tables of terms x blocks hold where a term's postings of a block
+    begin and the largest of their weights (rounded up to single precision).
     """
 
     n: int
     blocks: int
-    first: np.ndarray = field(repr=False)  # (terms + 1): first cell of each term
-    cell_block: np.ndarray = field(repr=False)
-    cell_most: np.ndarray = field(repr=False)  # largest weight of the cell
-    cell_start: np.ndarray = field(repr=False)  # (cells + 1): first posting of each cell
+    start: np.ndarray = field(repr=False)  # (terms, blocks + 1)
+    most: np.ndarray = field(repr=False)  # (terms, blocks)
     example: np.ndarray = field(repr=False)
     weight: np.ndarray = field(repr=False)
 
     @classmethod
-    def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 64) -> BlockMaxIndex:
+    def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 128) -> BlockMaxIndex:
         """``vectors``: (terms, weights) of each example, terms distinct."""
         n, blocks = len(vectors), max(1, -(-len(vectors) // block))
         example = np.repeat(np.arange(n, dtype=np.int64), [len(t) for t, _ in vectors]) if n else np.zeros(0, np.int64)
@@ -63,10 +62,14 @@ class BlockMaxIndex:
         weight = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
         order = np.lexsort((example, term))
         term, example, weight = term[order], example[order], weight[order]
-        cells, start = np.unique(term * blocks + example // block, return_index=True)
-        most = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
-        return cls(n, blocks, np.searchsorted(cells, np.arange(n_terms + 1) * blocks), (cells % blocks).astype(np.int32), most,
-                   np.append(start, len(weight)), example.astype(np.int32), weight)
+        cell = term * blocks + example // block
+        start = np.searchsorted(cell, np.arange(n_terms * blocks + 1)).astype(np.int32)
+        start = np.hstack([start[:-1].reshape(n_terms, blocks), start[blocks::blocks, None]]) if n_terms else np.zeros((0, blocks + 1), np.int32)
+        most = np.zeros(n_terms * blocks, np.float32)
+        cells, first = np.unique(cell, return_index=True)
+        if len(cells):
+            most[cells] = np.nextafter(np.maximum.reduceat(weight, first).astype(np.float32), np.float32(np.inf))
+        return cls(n, blocks, start, most.reshape(n_terms, blocks), example, weight)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples with the largest positive dot products; ties go to the lower number.
@@ -74,32 +77,33 @@ class BlockMaxIndex:
         The blocks of the highest upper bounds are opened first; of the others only those whose bound reaches the
         k-th best so far, so no closed block can hold a better one.
         """
-        sizes = self.first[terms + 1] - self.first[terms]
-        cells = concat_ranges(self.first[terms], sizes)
-        own, block = np.repeat(weights, sizes), self.cell_block[cells]
-        bound = np.bincount(block, own * self.cell_most[cells], minlength=self.blocks)
+        bound = weights @ self.most[terms]
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         lead = max(FIRST_BLOCKS, -(-k * self.blocks // max(1, self.n)))
-        found, scores = self._open(order[:lead], cells, own, block, k)
+        found, scores = self._open(order[:lead], terms, weights, k)
         rest = order[lead:]
         if len(scores) == k:
             rest = rest[bound[rest] * (1 + 1e-9) >= scores[-1]]
         if len(rest):
-            more, more_scores = self._open(rest, cells, own, block, k)
+            more, more_scores = self._open(rest, terms, weights, k)
             found, scores = np.concatenate([found, more]), np.concatenate([scores, more_scores])
             best = np.lexsort((found, -scores))[:k]
             found, scores = found[best], scores[best]
         return found, scores
 
-    def _open(self, opened: np.ndarray, cells: np.ndarray, own: np.ndarray, block: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _open(self, opened: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``k`` of the opened blocks; products are added term by term, so equal vectors get equal sums."""
-        is_open = np.zeros(self.blocks, bool)
-        is_open[opened] = True
-        inside = is_open[block]
-        start, stop = self.cell_start[cells[inside]], self.cell_start[cells[inside] + 1]
-        at = concat_ranges(start, stop - start)
-        total = np.bincount(self.example[at], np.repeat(own[inside], stop - start) * self.weight[at], minlength=self.n)
+        opened = np.sort(opened)
+        # Neighbouring open blocks are one range of postings.
+        first = opened[np.diff(opened, prepend=-2) > 1]
+        last = opened[np.diff(opened, append=self.blocks + 1) > 1] + 1
+        start, stop = self.start[terms[:, None], first].ravel(), self.start[terms[:, None], last].ravel()
+        size = stop - start
+        used = np.flatnonzero(size)
+        start, size = start[used], size[used]
+        at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+        total = np.bincount(self.example[at], np.repeat(weights[used // len(first)], size) * self.weight[at], minlength=self.n)
         hit = np.flatnonzero(total > 0)
         if len(hit) > k:
             hit = hit[total[hit] >= np.partition(total[hit], -k)[-k]]
@@ -123,34 +127,37 @@ class Model:
     doubt: float
 
 
-def vocabulary_of(forms: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, dict[int, list[int]]]:
+def vocabulary_of(forms: pa.StringArray, known: pa.StringArray, place: dict[str, int] | None = None) -> tuple[np.ndarray, dict[int, list[int]]]:
     """Numbers in ``known`` of the word and the stems of each form between white space (-1: none), one row
-    for each kind of term; and those of forms that are not one plain word."""
+    for each kind of term; and those of forms that are not one plain word. ``place`` is ``known`` as a mapping of
+    whole words alone: with it no stems are looked for."""
     low = pc.utf8_lower(forms)
     bare = pc.utf8_trim(low, MARKS)
     plain = pc.match_substring_regex(bare, r"^\p{L}*$").to_numpy(zero_copy_only=False).astype(bool)
     size = pc.utf8_length(bare).to_numpy(zero_copy_only=False)
     find = lambda x: pc.fill_null(pc.index_in(x, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    number = np.stack([find(bare)] + [
+    number = np.stack([find(bare)] + [] if place is not None else [find(bare)] + [
         np.where(size > n, find(pc.binary_join_element_wise(pc.utf8_slice_codeunits(bare, 0, n), "*", "")), -1) for n in STEMS])
     odd = np.flatnonzero(~plain)
     number[:, odd] = -1
-    place = {t: i for i, t in enumerate(known.to_pylist())} if len(odd) else {}
+    find_terms = terms_of if place is None else TERM.findall
+    if place is None:
+        place = {t: i for i, t in enumerate(known.to_pylist())} if len(odd) else {}
     several = {}
     for i, form in zip(odd.tolist(), low.take(pa.array(odd)).to_pylist(), strict=True):
-        hits = [place[t] for t in terms_of(form) if t in place]
+        hits = [place[t] for t in find_terms(form) if t in place]
         if hits:
             several[i] = hits
     return number, several
 
 
-def counted(text: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted(text: pa.StringArray, known: pa.StringArray, place: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, term number, occurrences) of the known terms in the texts, ordered by both."""
     split = pc.ascii_split_whitespace(text)
     doc = np.repeat(np.arange(len(text)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     coded = split.flatten().dictionary_encode()
     which = coded.indices.to_numpy(zero_copy_only=False)
-    number, several = vocabulary_of(coded.dictionary, known)
+    number, several = vocabulary_of(coded.dictionary, known, place)
     docs, terms = [], []
     for row in number:
         if (row >= 0).any():
@@ -161,18 +168,25 @@ def counted(text: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, np
     if several:
         special = np.zeros(number.shape[1], bool)
         special[list(several)] = True
-        for at in np.flatnonzero(special[which]).tolist():
-            hits = several[int(which[at])]
-            docs.append(np.full(len(hits), doc[at]))
-            terms.append(np.array(hits, np.int64))
+        sizes, flat = np.zeros(number.shape[1], np.int64), np.array([t for hits in several.values() for t in hits], np.int64)
+        sizes[list(several)] = [len(hits) for hits in several.values()]
+        starts = np.zeros(number.shape[1], np.int64)
+        starts[list(several)] = np.cumsum(sizes[list(several)]) - sizes[list(several)]
+        at = np.flatnonzero(special[which])
+        docs.append(np.repeat(doc[at], sizes[which[at]]))
+        terms.append(flat[concat_ranges(starts[which[at]], sizes[which[at]])])
     width = max(1, len(known))
     cell, n = np.unique(np.concatenate([np.zeros(0, np.int64), *docs]) * width + np.concatenate([np.zeros(0, np.int64), *terms]), return_counts=True)
     return cell // width, cell % width, n
 
 
+def _places(terms: list[str]) -> tuple[pa.StringArray, dict[str, int]]:
+    return pa.array(terms, pa.string()), {t: i for i, t in enumerate(terms)}
+
+
 def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, limit=PIECE):
-        found = [Counter(terms_of(text)) for text in batch.column("text").to_pylist()]
+        found = [Counter(TERM.findall(text.lower())) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([list(c) for c in found], pa.list_(pa.string())),
              pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))], ["doc_id", "terms", "n"])
@@ -180,10 +194,10 @@ def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _document_counts(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(sent.value, pa.string())
+        known, place = _places(sent.value)
         df, rows = np.zeros(len(known), np.int64), 0
         for batch in pieces(batches, limit=PIECE):
-            _, terms, _ = counted(batch.column("text"), known)
+            _, terms, _ = counted(batch.column("text"), known, place)
             df += np.bincount(terms, minlength=len(df))
             rows += batch.num_rows
         met = np.flatnonzero(df)
@@ -266,7 +280,7 @@ def fit(
 
     The bounded sample: of each label at most ``fit_rows`` documents, those with the lowest seeded hashes
     of their ids, distinct in text. The first ``examples`` of each label (at most half of them) fill the index with all their terms, the others
-    calibrate the votes. Document frequencies for the TF-IDF weights are counted over all ``docs``. A label that fills more documents than
+    calibrate the votes. Terms are whole words: inflected forms and their stems fill an index three times as large and find no more. Document frequencies for the TF-IDF weights are counted over all ``docs``. A label that fills more documents than
     the sample keeps its weight: its examples count for as many documents as they stand for.
     """
     spark = docs.sparkSession
@@ -289,20 +303,27 @@ def fit(
     outside = {i: label for label, own in split.items() for i in own[cut[label] :]}
     drawn = lambda ids: rows.join(F.broadcast(spark.createDataFrame(
         [(i, y) for i, y in ids.items()] or [(None, None)], f"doc_id {kind}, toxic boolean")), "doc_id")
-    lists = drawn(inside).select("doc_id", "text").mapInArrow(_term_lists, f"doc_id {kind}, terms array<string>, n array<long>").collect()
-    lists = {r["doc_id"]: r for r in sorted(lists, key=lambda r: (len(r["terms"]), r["terms"]))}  # repeated ids: one text
-    terms = sorted({t for r in lists.values() for t in r["terms"]})
-    place = {t: i for i, t in enumerate(terms)}
+    one_text = drawn(inside).groupBy("doc_id").agg(F.min("text").alias("text"))  # repeated ids: one text
+    lists = one_text.mapInArrow(_term_lists, f"doc_id {kind}, terms array<string>, n array<long>").toArrow().combine_chunks()
+    ids, sizes = lists.column("doc_id").to_pylist(), pc.list_value_length(lists.column("terms")).to_numpy().astype(np.int64)
+    coded = pc.list_flatten(lists.column("terms")).combine_chunks().dictionary_encode()
+    sorted_terms = pc.sort_indices(coded.dictionary).to_numpy()
+    number = np.empty(len(sorted_terms), np.int64)
+    number[sorted_terms] = np.arange(len(sorted_terms))
+    flat, counts = number[coded.indices.to_numpy()], pc.list_flatten(lists.column("n")).to_numpy()
+    terms = coded.dictionary.take(pa.array(sorted_terms)).to_pylist()
+    ends = np.cumsum(sizes)
+    del lists, coded
     sent = spark.sparkContext.broadcast(terms)  # the distinct terms of at most 2 * examples texts
-    counts = rows.select("text").mapInArrow(_document_counts(sent), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
+    met = rows.select("text").mapInArrow(_document_counts(sent), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1)
-    df[counts["number"].to_numpy(np.int64)] = counts["n"]  # the last is the number of documents
+    df[met.column("number").to_numpy()] = met.column("n").to_numpy()  # the last is the number of documents
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     held = []
-    for i, row in lists.items():
-        own = np.fromiter((place[t] for t in row["terms"]), np.int64, len(row["terms"]))
+    for i, size, end in zip(ids, sizes.tolist(), ends.tolist(), strict=True):
+        own, n = flat[end - size : end], counts[end - size : end]
         order = np.argsort(own)
-        own, n = own[order], np.array(row["n"], np.int64)[order]
+        own, n = own[order], n[order]
         common = own[np.lexsort((own, -n))][:3]  # texts of like frequent words share blocks
         held.append((tuple(common.tolist()), str(i), i, own, unit(weigh(n, idf[own]))))
     held.sort(key=lambda x: x[:2])
@@ -313,7 +334,7 @@ def fit(
     weight = np.array([per[inside[x[2]]] / scale for x in held])
     index = BlockMaxIndex.build([(x[3], x[4]) for x in held], len(terms))
     pull = index.weight * weight[index.example]
-    at = np.repeat(np.arange(len(terms)), np.diff(index.cell_start[index.first]))
+    at = np.repeat(np.arange(len(terms)), index.start[:, -1] - index.start[:, 0])
     small = min(per.values(), default=1) / scale
     yes = np.bincount(at, pull * toxic[index.example], minlength=len(terms)) + word_doubt * small * prior
     word = logit(yes / (np.bincount(at, pull, minlength=len(terms)) + word_doubt * small)) - logit(prior)
@@ -333,9 +354,9 @@ def fit(
     return model
 
 
-def _texts(batch: pa.RecordBatch, known: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _texts(batch: pa.RecordBatch, known: pa.Array, place: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(terms, counts) of the known terms of each text."""
-    docs, terms, n = counted(batch.column("text"), known)
+    docs, terms, n = counted(batch.column("text"), known, place)
     at = np.searchsorted(docs, np.arange(batch.num_rows + 1))
     for i in range(batch.num_rows):
         yield terms[at[i] : at[i + 1]], n[at[i] : at[i + 1]]
@@ -344,9 +365,9 @@ def _texts(batch: pa.RecordBatch, known: pa.Array) -> Iterator[tuple[np.ndarray,
 def _sample_signs(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        known = pa.array(model.terms, pa.string())
+        known, place = _places(model.terms)
         for batch in pieces(batches, limit=PIECE):
-            found = [(len(t), signs(model, t, n)[0]) for t, n in _texts(batch, known)]
+            found = [(len(t), signs(model, t, n)[0]) for t, n in _texts(batch, known, place)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array([m for m, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.float64()))],
                 ["toxic", "terms", "signs"])
@@ -357,10 +378,10 @@ def _sample_signs(sent):
 def _scores(sent, key: str, kind):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        known, ids = pa.array(model.terms, pa.string()), pa.array(model.example_ids, kind)
+        (known, place), ids = _places(model.terms), pa.array(model.example_ids, kind)
         for batch in pieces(batches, limit=PIECE):
             score, sizes, near = np.full(batch.num_rows, model.nothing), np.zeros(batch.num_rows + 1, np.int32), [np.zeros(0, np.int64)]
-            for i, (terms, n) in enumerate(_texts(batch, known)):
+            for i, (terms, n) in enumerate(_texts(batch, known, place)):
                 if len(terms):
                     x, found = signs(model, terms, n)
                     score[i] = chance(x @ model.coefficients)
