@@ -130,6 +130,10 @@ def test_broken_documents_fail(spark):
         bad = spark.createDataFrame([("d", text)], "doc_id string, value string")
         with pytest.raises(Exception, match="not a valid session log"):
             documents.parse_session_log(bad).collect()
+    for more in (log, "," + log, " x", "]", "\n[]"):
+        with pytest.raises(Exception, match="not a valid session log"):
+            documents.parse_session_log(good.withColumn("value", F.concat("value", F.lit(more)))).collect()
+    assert documents.parse_session_log(good.withColumn("value", F.concat(F.lit("\n "), "value", F.lit(" \n")))).count() == 2
     lines = spark.createDataFrame([("d", '{"s1": [{"eventid": "a"}]}'), ("d", ""), ("d", '{"s2": []}')], "doc_id string, value string")
     assert sorted(r.session_id for r in documents.parse_session_lines(lines).collect()) == ["s1", "s2"]
     with pytest.raises(Exception, match="not a valid session line"):

@@ -189,14 +189,17 @@ def bootstrap_weights(rows: DataFrame, id_col: str, label: str, n: int, seed: in
     return drawn.join(slots, ["_y", "_slot"]).select("rep", id_col, "weight")
 
 
-def poisson_weight(seed: int, *keys: str, limit: int = 12):
-    """Poisson(1) count from one deterministic uniform number, by its distribution function."""
+def poisson_weight(seed: int, *keys: str):
+    """Poisson(1) count from one deterministic uniform number, by its distribution function.
+
+    The number is a multiple of 2^-52, so counts of up to 18 occur, each with its own chance.
+    """
     u = det_rand(seed, *keys)
-    steps, cdf, term = [], 0.0, math.exp(-1.0)
-    for k in range(limit):
-        cdf += term
+    steps, cdf, term, k = [], 0.0, math.exp(-1.0), 0
+    while cdf + term <= 1.0 - 2.0**-52 and term >= 2.0**-53:
+        cdf, k = cdf + term, k + 1
         steps.append(F.when(u >= F.lit(cdf), 1).otherwise(0))
-        term /= k + 1
+        term /= k
     out = steps[0]
     for s in steps[1:]:
         out = out + s

@@ -38,9 +38,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
 
 
+def one_value(text: Column | str) -> Column:
+    """Whether ``text`` is one JSON value and nothing else: it fits both as the only item of a list and as a member.
+
+    The built-in parser alone stops behind the first value and would drop the rest.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    items = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>")
+    member = F.from_json(F.concat(F.lit('{"v":'), c, F.lit(',"z":1}')), "v string, z int")
+    return F.coalesce((F.size(items) == 1) & (member["z"] == 1), F.lit(False))
+
+
 def _parsed(documents: DataFrame, schema: str, required: Column, what: str) -> DataFrame:
-    d = documents.select("doc_id", F.from_json("value", schema).alias("d"))
-    checked = F.when(required, F.col("d")).otherwise(
+    d = documents.select("doc_id", F.from_json("value", schema).alias("d"), one_value("value").alias("_one"))
+    checked = F.when(F.col("_one") & required, F.col("d")).otherwise(
         F.raise_error(F.concat(F.lit(f"not a valid {what}: "), F.col("doc_id").cast("string"))))
     return d.select("doc_id", checked.alias("d"))
 
@@ -70,7 +81,7 @@ def parse_session_log(documents: DataFrame) -> DataFrame:
     """
     log = documents.select("doc_id", "value", F.from_json("value", f"array<map<string,array<{EVENT}>>>").alias("g"))
     # A truncated log parses to its first objects: its text must also close the array it opened.
-    whole = F.col("g").isNotNull() & ~F.exists("g", lambda m: m.isNull()) & F.col("value").rlike(r"(?s)^\s*\[.*\]\s*$")
+    whole = F.col("g").isNotNull() & ~F.exists("g", lambda m: m.isNull()) & F.col("value").rlike(r"(?s)^\s*\[.*\]\s*$") & one_value("value")
     checked = F.when(whole, F.col("g")).otherwise(
         F.raise_error(F.concat(F.lit("not a valid session log: "), F.col("doc_id").cast("string"))))
     groups = log.select("doc_id", F.explode(checked).alias("g"))
@@ -82,8 +93,9 @@ def parse_session_lines(lines: DataFrame) -> DataFrame:
 
     Lines are read in parallel (``spark.read.text``), so a large day is not one task; blank lines are skipped.
     """
-    log = lines.where(F.trim("value") != "").select("doc_id", F.from_json("value", f"map<string,array<{EVENT}>>").alias("g"))
-    checked = F.when(F.size(F.coalesce(F.map_keys("g"), F.array().cast("array<string>"))) > 0, F.col("g")).otherwise(
+    log = lines.where(F.trim("value") != "").select(
+        "doc_id", F.from_json("value", f"map<string,array<{EVENT}>>").alias("g"), one_value("value").alias("_one"))
+    checked = F.when(F.col("_one") & (F.size(F.coalesce(F.map_keys("g"), F.array().cast("array<string>"))) > 0), F.col("g")).otherwise(
         F.raise_error(F.concat(F.lit("not a valid session line: "), F.col("doc_id").cast("string"))))
     return _sessions(log.select("doc_id", checked.alias("g")))
 
@@ -133,7 +145,7 @@ def parse_scorecards(documents: DataFrame) -> DataFrame:
     All five top-level keys must be there; the host prefix of the repository name is removed.
     Repeated checks keep their place in ``pos``.
     """
-    have = F.lit(True)
+    have = one_value("value")
     for key in ("date", "repo", "scorecard", "score", "checks"):
         have = have & F.array_contains(F.json_object_keys("value"), key)
     bad = F.raise_error(F.concat(F.lit("scorecard lacks a required key: "), F.col("doc_id").cast("string")))
