@@ -82,3 +82,19 @@ def test_edge_rows(spark, monkeypatch):
     words = mixing.mixture(mixed).select("doc_id", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("n")).agg(F.sum("n")).first()[0]
     assert words == sum(r["taken"] for r in got)
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_small_sources_reach_their_targets(spark):
+    """Sources of a few words beside a large one, and a table of four words."""
+    sizes = {"big": 20_000, "a": 10, "b": 10, "c": 30, "d": 100, "e": 1}
+    rows = [(i, s, "w " * (n // 4 + (k < n % 4))) for i, (s, n) in enumerate(sizes.items()) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, keep=("source",)).collect()
+    for s in sizes:
+        own = [r for r in got if r["source"] == s]
+        assert own[0]["source_size"] == sizes[s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 2, s
+    four = mixing.mix(spark.createDataFrame([(1, "a", "one two three four")], "doc_id long, source string, text string")).collect()
+    assert four[0]["taken"] == 6
+    with pytest.raises(ValueError, match="size"):
+        mixing.mix(df, keep=("size",))

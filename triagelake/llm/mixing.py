@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from triagelake.core import cut, number_rows
 from triagelake.llm.common import SPACE, WORD, text_of
 
+#: Blocks that the smallest source has at least, unless it has fewer words.
+PARTS = 64
 #: Rows that one bucket of a source's line should hold.
 BUCKET_ROWS = 4096
 
@@ -105,15 +107,17 @@ def mix(
     """One row per document: doc_id, ``keep``, size, source_size, target, taken, ranges.
 
     The documents of a source lie on a line in seeded order, cut into blocks of ``block_words`` words
-    (more where the mix has over 2^26 blocks). A source gets its quota of blocks by Sainte-Laguë:
+    (fewer if the smallest source would have less than PARTS blocks, one at least). A source gets its quota of blocks by Sainte-Laguë:
     whole passes over the line, and for the rest a run of neighbouring blocks from a seeded start.
     As the line is shuffled by document, a run is a random choice that cuts two documents at most.
     ``ranges`` lists the taken word ranges (from, to) of the document, ``taken`` is their length.
 
     Null texts have size 0 and are taken 0 times; the null source is a source of its own; null keys
-    and repeated rows are placed like others; an empty table gives an empty result. Results depend on
+    and repeated rows are placed like others; an empty table gives an empty result; ``keep`` must not name a column of the result. Results depend on
     the rows and the seed only. No part of the line and no source is gathered in one task.
     """
+    if clash := {"doc_id", "size", "source_size", "target", "taken", "ranges"} & set(keep):
+        raise ValueError(f"keep names columns of the result: {sorted(clash)}")
     rows = docs.select(
         F.col(key).alias("doc_id"), F.col(source).cast("string").alias("_source"), *[F.col(c).alias(f"_keep_{c}") for c in keep],
         F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"),
@@ -121,7 +125,8 @@ def mix(
     rows = cut(rows)
     sources = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     targets, total = source_targets(cut(sources), weights=weights, share=share, most=most)
-    words = max(block_words, int(total) >> 26)
+    smallest = targets.where("source_size > 0").agg(F.min("source_size")).first()[0] or 1
+    words = max(1, min(block_words, smallest // PARTS))
     plan = quotas(targets, total, words, most)
     n_rows = targets.agg(F.sum("_rows")).first()[0] or 0
     start = F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.greatest(F.col("blocks"), F.lit(1)))
