@@ -160,11 +160,11 @@ w AS (SELECT rep, num.doc_id, count(*) AS weight FROM draws JOIN num USING (y, s
 
 
 def _poisson_sql(u: str) -> str:
-    cdf, term, parts = 0.0, math.exp(-1.0), []
-    for k in range(12):
-        cdf += term
+    cdf, term, k, parts = 0.0, math.exp(-1.0), 0, []
+    while cdf + term <= 1.0 - 2.0**-52 and term >= 2.0**-53:
+        cdf, k = cdf + term, k + 1
         parts.append(f"CASE WHEN {u} >= {cdf!r}::DOUBLE THEN 1 ELSE 0 END")
-        term /= k + 1
+        term /= k
     return " + ".join(parts)
 
 

@@ -9,7 +9,9 @@ from triagelake.core import det_rand_sql
 from triagelake.functions import scalars
 from triagelake.operators import graph, metrics
 from triagelake.plans import roles
+from triagelake.sources import documents
 
+DOCUMENT_PARTS = 500  # components of one bill of materials in the registered query
 PIVOTS = 64  # sources of the sampled betweenness
 ROUNDS = 20  # PageRank rounds in the registered query
 LEVELS = 18  # breadth-first levels in the SQL; the part DAG has at most log2(parts) of them
@@ -102,6 +104,33 @@ def q_node_features(spark, d):
     })
 
 
+def bom_documents(spark, d):
+    """(bills of materials, advisory batches): a document for each DOCUMENT_PARTS parts; all use the same references."""
+    c = components(spark, d).withColumn("doc_id", F.floor(F.col("node") / DOCUMENT_PARTS)).withColumn("i", F.col("node") % DOCUMENT_PARTS)
+    ref = lambda n: F.concat(F.lit("p"), n.cast("string"))
+    i = F.col("i")
+    listed = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "name", "version", "purl"))).alias("c"))
+    asked = F.filter("c", lambda x: x["purl"].startswith("pkg:") & (x["version"] != ""))
+    body = F.struct(
+        F.lit("CycloneDX").alias("bomFormat"), F.lit("1.2").alias("specVersion"),
+        F.transform("c", lambda x: F.struct(ref(x["i"]).alias("bom-ref"), x["name"].alias("name"), x["version"].alias("version"),
+                                            x["purl"].alias("purl"), F.lit("library").alias("type"))).alias("components"),
+        F.transform(F.filter("c", lambda x: x["i"] > 0), lambda x: F.struct(
+            ref(x["i"]).alias("ref"), F.array(ref(F.floor(x["i"] / 2)), ref(F.floor(x["i"] / 3))).alias("dependsOn"))).alias("dependencies"))
+    vulns = lambda x: F.array(*[F.struct(F.concat(F.lit("ADV-"), (x["i"] % k).cast("string")).alias("id")) for k in (7, 3)])
+    results = F.struct(F.transform(asked, lambda x: F.struct(vulns(x).alias("vulns"))).alias("results"))
+    return (listed.select("doc_id", F.to_json(body).alias("value")), listed.select("doc_id", F.to_json(results).alias("value")))
+
+
+def q_dependency_load(spark, d):
+    boms, batches = bom_documents(spark, d)
+    out = graph.dependency_load(documents.parse_bom(boms), documents.parse_advisories(batches), tol=None, max_rounds=ROUNDS)
+    return out.withColumns({
+        "pagerank": F.round("pagerank", 8), "betweenness": F.round("betweenness", 8),
+        "vulnerability_ids": F.array_join("vulnerability_ids", ","),
+    })
+
+
 def q_degree_baseline(spark, d):
     nodes, edges = roles.dag(spark, d)
     both = graph.blast_radius(nodes, edges).join(graph.graph_degrees(nodes, edges), "node")
@@ -133,6 +162,7 @@ QUERIES = {
     "betweenness_pivots": q_betweenness_pivots,
     "advisory_join": q_advisory_join,
     "node_features": q_node_features,
+    "dependency_load": q_dependency_load,
     "degree_baseline": q_degree_baseline,
     "positional_join": q_positional_join,
     "package_key": q_package_key,
@@ -163,6 +193,20 @@ def _pagerank_ctes() -> str:
     return ",\n".join(parts)
 
 
+def _pagerank_by_ctes() -> str:
+    """As above, in each document by itself."""
+    parts = ["od AS (SELECT node, doc_id, count(src) AS o FROM nodes LEFT JOIN edges ON src = node GROUP BY ALL)",
+             "nn AS (SELECT doc_id, count(*)::DOUBLE AS n FROM nodes GROUP BY 1)",
+             "r0 AS MATERIALIZED (SELECT node, doc_id, o, n, 1.0::DOUBLE / n AS r FROM od JOIN nn USING (doc_id))"]
+    for i in range(1, ROUNDS + 1):
+        q = f"r{i - 1}"
+        parts.append(
+            f"r{i} AS MATERIALIZED (SELECT {q}.node, {q}.doc_id, {q}.o, n, 0.85::DOUBLE * (coalesce(g.s, 0) + coalesce(l.r, 0) / n) + 0.15::DOUBLE / n AS r "
+            f"FROM {q} LEFT JOIN (SELECT dst, sum(r / o) AS s FROM edges JOIN {q} ON src = node GROUP BY dst) g ON g.dst = {q}.node "
+            f"LEFT JOIN (SELECT doc_id, sum(r) AS r FROM {q} WHERE o = 0 GROUP BY 1) l ON l.doc_id = {q}.doc_id)")
+    return ",\n".join(parts)
+
+
 def _betweenness_ctes(sources: str = "nodes") -> str:
     parts = [f"l0 AS MATERIALIZED (SELECT node AS s, node AS v, 1.0::DOUBLE AS sigma FROM {sources})",
              "seen0 AS MATERIALIZED (SELECT s, v FROM l0)"]
@@ -221,6 +265,19 @@ va AS (SELECT p_partkey AS node, coalesce(string_agg(id, ',' ORDER BY id), '') A
 SELECT node, name, version, purl, direct_dependents, direct_dependencies, transitive_dependents, transitive_dependencies,
        depth, round(r, 8) AS pagerank, round(betweenness, 8) AS betweenness, vulnerability_count, vulnerability_ids
 FROM comp JOIN deg USING (node) JOIN rad USING (node) JOIN dep USING (node) JOIN r{ROUNDS} USING (node) JOIN bt USING (node) JOIN va USING (node)""",
+    "dependency_load": f"""WITH RECURSIVE {COMPONENTS_SQL},
+listed AS (SELECT node // {DOCUMENT_PARTS} AS doc_id, node % {DOCUMENT_PARTS} AS i, name, version, purl FROM comp),
+links AS (SELECT DISTINCT doc_id, i AS a, unnest([i // 2, i // 3]) AS b FROM listed WHERE i > 0),
+every AS (SELECT * FROM listed UNION ALL SELECT DISTINCT doc_id, b, 'p' || b, '', '' FROM links l
+          WHERE NOT EXISTS (SELECT 1 FROM listed x WHERE x.doc_id = l.doc_id AND x.i = l.b)),
+nodes AS MATERIALIZED (SELECT *, doc_id || ':' || i AS node FROM every),
+edges AS MATERIALIZED (SELECT doc_id || ':' || a AS src, doc_id || ':' || b AS dst FROM links), {_DEGREES}, {_CLOSURE}, {_DEPTH}, {_pagerank_by_ctes()}, {_betweenness_ctes()}
+SELECT nodes.doc_id, 'p' || i AS node, name, version, purl, direct_dependents, direct_dependencies, transitive_dependents, transitive_dependencies,
+  depth, round(r, 8) AS pagerank, round(coalesce(b, 0) / ((n - 1) * (n - 2)), 8) AS betweenness,
+  CASE WHEN NOT (starts_with(purl, 'pkg:') AND version <> '') THEN 0 WHEN i % 7 = i % 3 THEN 1 ELSE 2 END AS vulnerability_count,
+  CASE WHEN NOT (starts_with(purl, 'pkg:') AND version <> '') THEN '' WHEN i % 7 = i % 3 THEN 'ADV-' || i % 7
+       ELSE 'ADV-' || least(i % 7, i % 3) || ',ADV-' || greatest(i % 7, i % 3) END AS vulnerability_ids
+FROM nodes JOIN deg USING (node) JOIN rad USING (node) JOIN dep USING (node) JOIN r{ROUNDS} USING (node) LEFT JOIN dp ON dp.v = node""",
     "degree_baseline": f"""WITH RECURSIVE {roles.DAG_SQL}, {_DEGREES}, {_CLOSURE},
 t AS (SELECT node, transitive_dependents AS t, direct_dependents AS d FROM rad JOIN deg USING (node)),
 pt AS (SELECT t, (sum(n) OVER (ORDER BY t) - n + (n + 1) / 2.0::DOUBLE) / sum(n) OVER () AS pt FROM (SELECT t, count(*) AS n FROM t GROUP BY t) a),

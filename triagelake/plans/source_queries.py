@@ -94,6 +94,19 @@ def q_session_log_scan(spark, d):
     return f.select("session_id", "event_count", "unique_event_types", "telnet_fraction", "duration_seconds", "login_failed")
 
 
+def q_session_lines(spark, d):
+    """One line per event: its session as a line-delimited log, and lines without an event."""
+    e = roles.honeypot_log(spark, d)
+    event = F.struct("eventid", "message", "timestamp", "protocol")
+    none = F.array().cast("array<struct<eventid:string,message:string,timestamp:string,protocol:string>>")
+    i = F.col("pos").cast("string")
+    lines = e.select(F.col("pos").alias("doc_id"), F.explode(F.array(
+        F.to_json(F.create_map(F.concat("session_id", F.lit("-"), i), F.array(event, event))),
+        F.to_json(F.create_map(F.concat(F.lit("empty-"), i), none)), F.lit(" "))).alias("value"))
+    f = sessions.session_features(documents.parse_session_lines(lines))
+    return f.select("session_id", "event_count", "unique_event_types", "telnet_fraction", "duration_seconds", "login_failed")
+
+
 def q_bom_scan(spark, d):
     p = roles.table(spark, d, "part")
     ref = lambda n: F.concat(F.lit("p"), n.cast("string"))
@@ -184,6 +197,7 @@ QUERIES = {
     "run_receipt": q_run_receipt,
     "catalog_scan": q_catalog_scan,
     "session_log_scan": q_session_log_scan,
+    "session_lines": q_session_lines,
     "bom_scan": q_bom_scan,
     "advisory_scan": q_advisory_scan,
     "scorecard_scan": q_scorecard_scan,
@@ -245,3 +259,5 @@ UNION ALL SELECT 'active', 'x-mitre-asset--' || s_suppkey, 'x-mitre-asset' FROM
 UNION ALL SELECT 'active', 'relationship--' || s_suppkey, 'relationship' FROM supplier
 UNION ALL SELECT 'active', 'relationship--' || s_suppkey, 'relationship' FROM supplier""",
 }
+#: The same sessions, whichever way they are written.
+ORACLE["session_lines"] = ORACLE["session_log_scan"]
