@@ -8,9 +8,9 @@ from triagelake.operators import decide, metrics
 
 @pytest.fixture(scope="module")
 def frame(spark):
-    rng = np.random.default_rng(0)
-    outcome = (rng.random(400) < 0.2).astype(int)
-    pdf = pd.DataFrame({"id": range(400), "outcome": outcome, "good": outcome * 3 + rng.random(400), "bad": rng.random(400)})
+    i = np.arange(366)
+    outcome = (i % 6 == 1).astype(int)
+    pdf = pd.DataFrame({"id": i, "outcome": outcome, "good": outcome * 2 + i * 37 % 101 / 100, "bad": i * 53 % 97 / 97})
     return pdf, spark.createDataFrame(pdf).repartition(6)
 
 
@@ -28,13 +28,21 @@ def test_better_queue_wins_and_swapping_flips(frame):
     for q in ("good", "bad"):
         assert got[q].utility == pytest.approx(np.mean([_recall(pdf, q, b) for b in decide.UTILITY_BUDGETS]))
     assert "mean recall" in got["good"].why and "'good' queue" in got["good"].why
-    assert round(got["good"].utility, 3) == 0.457 and round(got["bad"].utility, 3) == 0.071  # published example
     swapped = decide.decide_by_argmax(df, "id", proxy="outcome", queues={"good": "bad", "bad": "good"})
     assert swapped.where("is_winner").first().queue == "bad"
     chosen = decide.selected_scores(df, "id", swapped).orderBy("id").toPandas()["score"]
     assert np.allclose(chosen, pdf["good"])
     body = decide.decision_receipt(swapped, "outcome").first()
-    assert '"recommended_queue":"bad"' in body.receipt and '"good_queue_utility":0.0' in body.utilities
+    assert '"recommended_queue":"bad"' in body.receipt and '"good_queue_utility":0.' in body.utilities
+
+
+def test_published_example(spark):
+    """Mean recalls 0.457 and 0.071 of the published decision example, on the data that it draws."""
+    rng = np.random.default_rng(0)
+    y = (rng.random(400) < 0.2).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"id": range(400), "y": y, "good": y * 3 + rng.random(400), "bad": rng.random(400)}))
+    got = {r.queue: round(r.utility, 3) for r in decide.decide_by_argmax(df, "id", proxy="y", queues={"good": "good", "bad": "bad"}).collect()}
+    assert got == {"good": 0.457, "bad": 0.071}
 
 
 def test_first_of_equal_queues_wins(frame):
@@ -56,13 +64,12 @@ def test_no_positives_gives_zero(spark):
 
 
 def test_proxy_independence(spark):
-    rng = np.random.default_rng(2)
-    score = rng.integers(0, 6, 600).astype(float)
-    pdf = pd.DataFrame({"score": score, "taut": (score >= 3).astype(int), "indep": (rng.random(600) < 0.25).astype(int)})
+    i = np.arange(560)
+    pdf = pd.DataFrame({"level": (i % 7).astype(float), "cut": (i % 7 >= 4).astype(int), "spread": (i // 7 % 4 == 0).astype(int)})
     df = spark.createDataFrame(pdf)
-    taut, indep = (decide.proxy_independence(df, p, "score").first() for p in ("taut", "indep"))
-    assert not taut.non_monotone and round(taut.correlation, 2) == 0.88
-    assert indep.non_monotone and abs(indep.correlation) < 0.1
+    cut, spread = (decide.proxy_independence(df, p, "level").first() for p in ("cut", "spread"))
+    assert not cut.non_monotone and cut.correlation == pytest.approx(np.corrcoef(pdf.level, pdf.cut)[0, 1], abs=1e-4)
+    assert spread.non_monotone and spread.correlation == 0.0
 
 
 def _ap(y, s, w):
@@ -106,9 +113,9 @@ def test_one_class_metrics_are_null(spark):
 @pytest.mark.parametrize("how", ["stratified", "poisson"])
 @pytest.mark.parametrize("metric", ["ap", "roc_auc"])
 def test_bootstrap_gate(spark, how, metric):
-    rng = np.random.default_rng(1)
-    y = (rng.random(300) < 0.3).astype(int)
-    df = spark.createDataFrame(pd.DataFrame({"id": range(300), "y": y, "adv": y * 0.5 + rng.random(300), "base": rng.random(300)}))
+    i = np.arange(252)
+    y = (i % 3 == 0).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"id": i, "y": y, "adv": y * 0.6 + i * 29 % 83 / 83, "base": i * 61 % 89 / 89}))
     g = decide.paired_bootstrap_gate(df, "id", "adv", "base", "y", n=25, seed=1, metric=metric, weights=how).first()
     assert g.p10 <= g.median <= g.p90 and g.adopt is True
     worse = decide.paired_bootstrap_gate(df, "id", "base", "adv", "y", n=25, seed=1, metric=metric, weights=how).first()

@@ -83,7 +83,7 @@ def q_svd_scores(spark, d):
     """Rank-1 entries of the returned-brand relation at its own edges, both ways to get them."""
     inc = roles.incidence(spark, d).withColumn("split", F.lit(0))
     exact = links.spectral_scores(inc, inc, 1, narrow=True).withColumnRenamed("spectral", "gram")
-    both = links.spectral_scores(inc, exact, 1, narrow=False, rounds=12)
+    both = links.spectral_scores(inc, exact, 1)
     return both.select("row_id", "col_id", F.round("gram", 5).alias("gram"), F.round("spectral", 5).alias("subspace"))
 
 
