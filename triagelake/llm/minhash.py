@@ -269,7 +269,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
 
 def keep_first(docs: DataFrame, *, percent: int = 80) -> DataFrame:
-    """The documents whose id is that of their group, one row for each id; rows without an id stay."""
+    """The documents whose id is that of their group, one row for each id; rows without an id stay.
+
+    Null, empty and wordless texts are linked with nothing and stay; of rows that share an id the one with the lowest hash of its other
+    columns stays, so reruns agree; all columns of ``docs`` come back, whatever their names; an empty table gives an empty result.
+    """
     judged = near_duplicates(docs, percent=percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[c for c in docs.columns if c != "doc_id"]))
     named = docs.where("doc_id IS NOT NULL").join(judged, "doc_id", "left_semi")

@@ -157,7 +157,8 @@ def mix(
 def mixture(mixed: DataFrame, text: str = "text") -> DataFrame:
     """One row per taken range of :func:`mix` (run with ``keep`` holding the text), with its part of the text.
 
-    A range over the whole document keeps the text as it is; a part keeps the white space between its words.
+    A range over the whole document keeps the text as it is; a part keeps the white space between its words. Documents that
+    are not taken (null and empty texts among them) give no row; repeated rows give their own; an empty table gives an empty result.
     """
     taken = mixed.withColumn("_range", F.explode("ranges"))
     low, high = F.col("_range")["from"], F.col("_range")["to"]

@@ -240,7 +240,11 @@ def shown(spans: Column, kinds: Sequence[str] | None = None) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
-    """``text`` with every span replaced by ``mark``; overlapping spans become one mark."""
+    """``text`` with every span replaced by ``mark``; overlapping spans become one mark.
+
+    A null text stays null, and one without a span stays as it is. Spans are those of :func:`scan`, by start; a long text is copied once
+    for each of its spans at most.
+    """
     walk = F.aggregate(
         spans,
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),

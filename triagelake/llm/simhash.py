@@ -145,6 +145,9 @@ def search(queries: DataFrame, table: DataFrame, radius: int = 3) -> DataFrame:
     Fingerprints are cut into radius + 1 blocks; two within the radius agree in one of them at least, so there is
     a table for each block, with that block moved to the front as the key. A pair is taken from the first
     table that holds it. Equal fingerprints are one entry: join back on (a, b) for the documents.
+
+    Both inputs need the columns a and b alone; rows with a null in them match nothing, repeated ones count once, and an empty side gives
+    an empty result. Many different fingerprints that share a block are compared in pairs of that block.
     """
     width = 64 * HALVES
     cuts = [round(i * width / (radius + 1)) for i in range(radius + 2)]

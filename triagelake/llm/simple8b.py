@@ -288,6 +288,8 @@ def write_ids(
     well), so files in order of ``part`` hold ascending ids and no id value fills one task. A row of a file is a
     page of whole documents: their ids and sizes, the packed words, the first word of each block, the escapes.
     A null text is empty and has the end id alone. ``added`` is that of :func:`token_ids`. ``folder`` must be one that all executors share.
+    Null and repeated ids are rows like others; an empty table writes no page; other columns are not read. A task encodes 4 MB of text at
+    a time, or one longer text.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
@@ -320,7 +322,8 @@ def _pages_read(block: int, digest: bool):
 def read_ids(spark: SparkSession, folder: str, *, block: int = BLOCK, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of each document in the files; with ``digest`` ids_crc32 takes the place of ids.
 
-    ``start`` counts the ids of all documents before. One total per file part goes to the driver.
+    ``start`` counts the ids of all documents before. One total per file part goes to the driver. Null and repeated ids come back as they
+    were written; a folder without pages gives an empty result.
     """
     files = spark.read.schema(PAGE).parquet(folder)
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
