@@ -19,7 +19,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a known language; those without a letter or with an unsure prediction go.
 
     The model learns from the rows that name their language. Where none does, nothing can be rejected
-    by it, and only texts without a letter go.
+    by it, and only texts without a letter go. Null and empty texts go; null ids and repeated rows stay; an empty table stays empty.
+    Texts of any length are scored in windows.
     """
     model = langid.fit(docs)
     if not model.languages:
@@ -29,25 +30,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8 or more)."""
+    """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8 or more).
+
+    Texts without a word and rows without an id are linked with nothing and stay; rows of one id become one.
+    """
     return minhash.keep_first(docs.select(*COLUMNS), percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret by a mark; texts without one stay as they are."""
+    """Replaces every secret by a mark; texts without one stay as they are.
+
+    Every row stays, whatever is null in it; a null text becomes empty. ``n_chars`` is counted again.
+    """
     found = secrets.scan(docs, keep=("lang", "source"))
     return found.select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("text"), "lang", "source").withColumn(
         "n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixes the sources to their target weights: one row per taken pass or part of a document."""
+    """Mixes the sources to their target weights: one row per taken pass or part of a document.
+
+    A null source is a source of its own. Documents that the mixture does not take, those without a word among them, give no row.
+    """
     mixed = mixing.mix(docs, keep=("text", "lang", "source"))
     return mixing.mixture(mixed).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text of the mixture, and the digest of their decoding."""
+    """Token ids of every text of the mixture, and the digest of their decoding; a null text is empty."""
     return bpe.digests(docs, bpe.ship(spark, public_tokenizers.path("byte_bpe_50k.tiktoken")))
 
 
@@ -55,7 +65,11 @@ STAGES = [("language_id", language), ("near_dedup", near_dedup), ("secrets", sec
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written to the shared folder and read again."""
+    """All stages over the documents of ``sf_dir``, each written to the shared folder and read again.
+
+    Only the columns of documents are read, so further ones may have any name; an empty table gives an empty result.
+    The folders of the stages stay below the checkpoint folder.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = simple8b.shared_folder(spark, f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES:
