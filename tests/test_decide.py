@@ -140,3 +140,23 @@ def test_adjusted_rand(spark):
     assert metrics.adjusted_rand(df, [], "a", "b").first().ari == pytest.approx(0.5714285714)
     same = spark.range(5).select(F.lit(1).alias("a"), F.lit(2).alias("b"))
     assert metrics.adjusted_rand(same, [], "a", "b").first().ari == 1.0
+
+
+@pytest.mark.parametrize("how", ["stratified", "poisson"])
+def test_replicates_are_drawn_once_for_both_scores(spark, how):
+    """The differences are those of the drawn weights, and no hash number is made again behind the score buckets."""
+    i = np.arange(120)
+    pdf = pd.DataFrame({"id": i, "y": (i % 3 == 0).astype(int), "adv": i * 29 % 17 / 17, "base": i * 61 % 89 / 89})
+    df = spark.createDataFrame(pdf)
+    got = decide.paired_differences(df, "id", "adv", "base", "y", n=6, seed=3, weights=how)
+    assert "md5" not in got._jdf.queryExecution().executedPlan().toString()
+    if how == "poisson":
+        weight = decide.poisson_weight(3, "rep", "id")
+        drawn = df.select("id", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("rep")).select("id", "rep", weight.alias("weight"))
+    else:
+        drawn = decide.bootstrap_weights(df, "id", "y", 6, 3)
+    w = drawn.toPandas().pivot(index="id", columns="rep", values="weight").reindex(i).fillna(0)
+    y, adv, base = pdf.y.to_numpy(), pdf.adv.to_numpy(), pdf.base.to_numpy()
+    for r in got.collect():
+        weights = w[r.rep].to_numpy()
+        assert r.difference == pytest.approx(_ap(y, adv, weights) - _ap(y, base, weights))
