@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,23 +20,32 @@ from triagelake.operators.partials import ROWS_PER_TASK, spread, sum_over_rows
 # Word pattern and vocabulary limits.
 WORD = r"[\p{L}\p{N}_]{2,}"
 MIN_DOCS, MAX_SHARE, MAX_TERMS = 2, 0.96, 2500
+#: Words whose pairs are counted by number; if more of them could be in the vocabulary, all terms are counted as text.
+KNOWN_WORDS = 100_000
+#: Documents of a step of the counting passes.
+STEP_DOCS = 2048
 
 
 def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+def document_words(docs: DataFrame, doc_id: str, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc, _w): the words in their order, stop words dropped."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
+    kept = F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
+    return docs.select(doc_id, kept.alias("_w"))
+
+
 def document_terms(docs: DataFrame, doc_id: str, text: str, stop_words: Sequence[str]) -> DataFrame:
     """(doc, terms): single words and pairs of neighbours after stop words are dropped.
 
     Pairs are made inside the row's own word array, so no window or join is needed.
     """
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
-    kept = F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
     n = F.greatest(F.size("_w") - 1, F.lit(0))
     pairs = F.zip_with(
         F.slice("_w", F.lit(1), n), F.slice("_w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
-    return docs.select(doc_id, kept.alias("_w")).select(doc_id, F.concat("_w", pairs).alias("terms"))
+    return document_words(docs, doc_id, text, stop_words).select(doc_id, F.concat("_w", pairs).alias("terms"))
 
 
 def vocabulary(
@@ -57,6 +67,113 @@ def vocabulary(
     )
 
 
+def _steps(batches):
+    for batch in batches:
+        yield from (batch.slice(at, STEP_DOCS) for at in range(0, batch.num_rows, STEP_DOCS))
+
+
+def _numbers(batch: pa.RecordBatch, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Per word of a batch its row, and its number in ``known`` or -1."""
+    words = batch.column("_w")
+    row = np.repeat(np.arange(batch.num_rows), words.value_lengths().to_numpy(zero_copy_only=False))
+    return row, pc.index_in(words.flatten(), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
+
+
+def _pair_keys(row: np.ndarray, no: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and keys (first number x ``size`` + second) of the pairs of neighbours that both have a number."""
+    here = np.flatnonzero((row[1:] == row[:-1]) & (no[1:] >= 0) & (no[:-1] >= 0))
+    return row[here], no[here] * size + no[here + 1]
+
+
+def _counts(row: np.ndarray, key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys (0..``size`` - 1), how often each occurs, and in how many rows."""
+    cells, n = np.unique(row * size + key, return_counts=True)
+    cells %= size
+    order = np.argsort(cells, kind="stable")
+    keys, first, df = np.unique(cells[order], return_index=True, return_counts=True)
+    return keys, np.add.reduceat(n[order], first) if len(keys) else n, df
+
+
+def word_counts(words: DataFrame) -> DataFrame:
+    """(term, tf, df) of the single words; tasks count whole batches, so a batch's word is one row in the shuffle."""
+
+    def count(batches):
+        for part in _steps(batches):
+            column = part.column("_w")
+            row = np.repeat(np.arange(part.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))
+            coded = column.flatten().dictionary_encode()
+            keys, tf, df = _counts(row, coded.indices.to_numpy(zero_copy_only=False).astype("int64"), max(1, len(coded.dictionary)))
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(keys)), pa.array(tf), pa.array(df)], ["term", "tf", "df"])
+
+    return words.mapInArrow(count, "term string, tf long, df long").groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def frequent_terms(
+    words: DataFrame, n_docs: int, *, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_terms: int = MAX_TERMS
+) -> DataFrame | None:
+    """:func:`vocabulary` from (doc, _w), with few pairs counted; None if more than ``KNOWN_WORDS`` words may have a part in it.
+
+    A pair is no more frequent than either of its words. So if ``max_terms`` words are frequent enough by themselves, the least frequent of
+    them bounds what any pair in the vocabulary, and each of its words, must reach.
+    """
+    spark = words.sparkSession
+    single = cut(word_counts(words).where(F.col("df") >= min_docs))
+    fits = (F.col("df") >= min_docs) & (F.col("df") <= max_share * n_docs)
+    top = single.where(fits).orderBy(F.col("tf").desc()).limit(max_terms).agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
+    least = top["tf"] if top["n"] == max_terms else min_docs
+    known = [r[0] for r in single.where(F.col("tf") >= least).select("term").limit(KNOWN_WORDS + 1).collect()]
+    if len(known) > KNOWN_WORDS:
+        return None
+    numbered, size = pa.array(known, pa.string()), max(1, len(known))
+
+    def count(batches):
+        for part in _steps(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _counts(*_pair_keys(*_numbers(part, numbered), size), size * size)], ["key", "tf", "df"])
+
+    pairs = words.mapInArrow(count, "key long, tf long, df long").groupBy("key").agg(
+        F.sum("tf").alias("tf"), F.sum("df").alias("df")).where(fits & (F.col("tf") >= least))
+    # At most KNOWN_WORDS rows, so the hints are safe.
+    names = spark.createDataFrame(list(enumerate(known)), "no long, word string")
+    first, second = (F.broadcast(names.select(F.col("no").alias(n), F.col("word").alias(w))) for n, w in (("_a", "_first"), ("_b", "_second")))
+    pairs = pairs.select(
+        F.expr(f"key div {size}").alias("_a"), (F.col("key") % size).alias("_b"), "tf", "df").join(first, "_a").join(second, "_b")
+    both = single.where(fits).select("term", "tf", "df").unionByName(pairs.select(F.concat_ws(" ", "_first", "_second").alias("term"), "tf", "df"))
+    return both.orderBy(F.col("tf").desc(), "term").limit(max_terms).select(
+        "term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+
+
+def term_counts(words: DataFrame, doc_id: str, terms: Sequence[str]) -> DataFrame:
+    """(doc, no, tf) of the ``terms`` (words and pairs, by their place in the list); a document's counts are one row in the shuffle."""
+    parts = [t.split(" ") for t in terms]
+    known = sorted({w for p in parts for w in p})
+    place, size, m = {w: i for i, w in enumerate(known)}, max(1, len(known)), max(1, len(terms))
+    single = np.full(size, -1)
+    for no, p in enumerate(parts):
+        if len(p) == 1:
+            single[place[p[0]]] = no
+    keyed = sorted((place[p[0]] * size + place[p[1]], no) for no, p in enumerate(parts) if len(p) == 2)
+    # A last key that no pair has, so that the list is never empty.
+    keys, pair = np.array([*[k for k, _ in keyed], -1 + (1 << 62)], np.int64), np.array([*[no for _, no in keyed], -1])
+    numbered = pa.array(known, pa.string())
+
+    def count(batches):
+        for part in _steps(batches):
+            row, no = _numbers(part, numbered)
+            prow, pkey = _pair_keys(row, no, size)
+            at = np.searchsorted(keys, pkey)
+            found = np.concatenate([np.where(no >= 0, single[no], -1), np.where(keys[at] == pkey, pair[at], -1)])
+            rows = np.concatenate([row, prow])
+            cells, tf = np.unique(rows[found >= 0] * m + found[found >= 0], return_counts=True)
+            rows, first = np.unique(cells // m, return_index=True)
+            entries = pa.StructArray.from_arrays([pa.array((cells % m).astype("int32")), pa.array(tf.astype("int64"))], ["no", "tf"])
+            listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(cells)).astype("int32")), entries)
+            yield pa.RecordBatch.from_arrays([part.column(doc_id).take(pa.array(rows)), listed], [doc_id, "_t"])
+
+    kind = words.schema[doc_id].dataType.simpleString()
+    counted = words.mapInArrow(count, f"{doc_id} {kind}, _t array<struct<no:int,tf:bigint>>")
+    return counted.repartition(doc_id).select(doc_id, F.inline("_t")).groupBy(doc_id, "no").agg(F.sum("tf").alias("tf"))
+
+
 def tfidf(
     docs: DataFrame, doc_id: str, text: str, *, stop_words: Sequence[str] | None = None,
     min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_terms: int = MAX_TERMS,
@@ -70,11 +187,14 @@ def tfidf(
     n_docs, cores = docs.count(), docs.sparkSession.sparkContext.defaultParallelism
     if n_docs < cores * ROWS_PER_TASK:
         docs = docs.select(doc_id, text).repartition(cores, doc_id)
-    terms = document_terms(docs, doc_id, text, stop)
-    chosen = vocabulary(terms, n_docs, min_docs=min_docs, max_share=max_share, max_terms=max_terms)
-    # At most max_terms rows, so the hint is safe.
-    counts = terms.select(doc_id, F.explode("terms").alias("term")).join(F.broadcast(chosen), "term").groupBy(
-        doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
+    words = document_words(docs, doc_id, text, stop)
+    limits = {"min_docs": min_docs, "max_share": max_share, "max_terms": max_terms}
+    chosen = frequent_terms(words, n_docs, **limits)
+    if chosen is None:
+        chosen = vocabulary(document_terms(docs, doc_id, text, stop), n_docs, **limits)
+    found = [tuple(r) for r in chosen.collect()]  # at most max_terms
+    numbers = docs.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(found)], "no int, term string, idf double")
+    counts = term_counts(words, doc_id, [t for t, _ in found]).join(F.broadcast(numbers), "no")
     weighted = counts.select(doc_id, "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("_x"))
     length = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(doc_id)))
     return weighted.select(doc_id, "term", (F.col("_x") / length).alias("weight"))
