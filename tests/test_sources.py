@@ -155,3 +155,24 @@ def test_manifests_are_whole_and_ordered(spark):
     cut = spark.createDataFrame([("a", rows[0][1][:-4])], "path string, content binary")
     with pytest.raises(Exception, match="not a valid manifest"):
         assets.parse_manifest(cut).collect()
+
+
+def test_a_bom_is_parsed_once_per_result(spark, tmp_path):
+    """No inferred filter and no join parses a text again; a file of one split is dealt out before its documents are built."""
+    from triagelake.plans import source_queries
+
+    body = json.dumps({"bomFormat": "CycloneDX", "components": [{"bom-ref": "a", "name": "old"}, {"name": "no ref"}, {"bom-ref": "a", "version": "2"}],
+                       "dependencies": [{"ref": "a", "dependsOn": ["b", "b"]}, {"ref": "lone"}, {"ref": ""}, None]})
+    bare = json.dumps({"bomFormat": "CycloneDX", "components": []})
+    nodes, edges = documents.parse_bom(spark.createDataFrame([("x", body), ("x", body), (None, body), ("y", bare)], "doc_id string, value string"))
+    for frame in (nodes, edges):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("not a valid bill of materials") == 1
+    got = sorted((str(r.doc_id), r.node, r.pos, r["name"], r.version, r.component_type) for r in nodes.collect() if r.pos is not None)
+    assert got == [("None", "a", 1, "a", "2", "unknown"), ("x", "a", 1, "a", "2", "unknown")]
+    loose = sorted((str(r.doc_id), r.node, r["name"], r.component_type) for r in nodes.where("pos IS NULL").collect())
+    # Nothing can be looked up in a document without a name, so there even the listed reference counts as unresolved.
+    assert loose == [("None", "a", "a", "unresolved"), ("None", "lone", "lone", "unresolved"), ("x", "lone", "lone", "unresolved")]
+    assert sorted((str(r.doc_id), r.src, r.dst) for r in edges.collect()) == [("None", "a", "b"), ("x", "a", "b")]
+    spark.range(8).selectExpr("id AS p_partkey", "'n' AS p_name", "1 AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    plan = source_queries.q_bom_scan(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition ") == plan.count("not a valid bill of materials") == 2

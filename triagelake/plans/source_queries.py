@@ -108,7 +108,7 @@ def q_session_lines(spark, d):
 
 
 def q_bom_scan(spark, d):
-    p = roles.table(spark, d, "part")
+    p = roles.spread_table(spark, d, "part")
     ref = lambda n: F.concat(F.lit("p"), n.cast("string"))
     key = F.col("p_partkey")
     comp = lambda r, name, v: F.struct(r.alias("bom-ref"), name.alias("name"), v.alias("version"), F.lit(None).cast("string").alias("purl"), F.lit("library").alias("type"))
@@ -125,7 +125,7 @@ def q_bom_scan(spark, d):
 
 
 def q_advisory_scan(spark, d):
-    p = roles.table(spark, d, "part")
+    p = roles.spread_table(spark, d, "part")
     v = lambda n: F.struct(F.concat(F.lit("ADV-"), n.cast("string")).alias("id"))
     k = F.col("p_partkey")
     hit = F.struct(F.array(v(k % 7), v(k % 3), v(k % 3)).alias("vulns"))

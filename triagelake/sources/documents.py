@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 CATALOG_SCHEMA = "catalogVersion string, vulnerabilities array<map<string,string>>"
 EVENT = "struct<eventid:string,message:string,timestamp:string,protocol:string>"
+COMPONENT = "struct<`bom-ref`:string,name:string,version:string,purl:string,type:string>"
 BOM_SCHEMA = (
     "bomFormat string, specVersion string,"
-    "metadata struct<component:struct<`bom-ref`:string,name:string,version:string,purl:string,type:string>>,"
-    "components array<struct<`bom-ref`:string,name:string,version:string,purl:string,type:string>>,"
+    f"metadata struct<component:{COMPONENT}>,components array<{COMPONENT}>,"
     "dependencies array<struct<ref:string,dependsOn:array<string>>>"
 )
 ADVISORY_SCHEMA = "results array<struct<vulns:array<struct<id:string,modified:string>>>>"
@@ -115,18 +115,20 @@ def parse_bom(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     d = _parsed(documents, BOM_SCHEMA, F.col("d.bomFormat").isNotNull() & F.col("d.components").isNotNull(), "bill of materials")
     listed = F.concat(F.array("d.metadata.component"), F.col("d.components"))
-    c = d.select("doc_id", F.posexplode(listed).alias("pos", "c")).where("c.`bom-ref` IS NOT NULL AND c.`bom-ref` != ''")
-    latest = c.groupBy("doc_id", F.col("c.`bom-ref`").alias("node")).agg(F.max_by("c", "pos").alias("c"), F.min("pos").alias("pos"))
+    # References that no component lists take part without a place, so a parent without children is not lost.
+    # Without a document's name there is nothing to find a component by: such references stay apart.
+    # The outer forms keep the planner from parsing a text once more, to see beforehand whether its lists are empty.
+    parts = F.transform(listed, lambda c, i: F.struct(
+        c["bom-ref"].alias("node"), i.alias("pos"), c.alias("c"), F.lit(False).alias("apart")))
+    refs = F.transform(F.coalesce("d.dependencies", F.array()), lambda p: F.struct(
+        p["ref"].alias("node"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast(COMPONENT).alias("c"), F.col("doc_id").isNull().alias("apart")))
+    found = d.select("doc_id", F.inline_outer(F.concat(parts, refs))).where("node IS NOT NULL AND node != ''")
+    latest = found.groupBy("doc_id", "node", "apart").agg(F.max_by("c", "pos").alias("c"), F.min("pos").alias("pos"))
+    kind = F.when(F.col("pos").isNull(), "unresolved").otherwise("unknown")
     nodes = latest.select(
         "doc_id", "pos", "node", F.coalesce("c.name", "node").alias("name"), F.coalesce("c.version", F.lit("")).alias("version"),
-        F.coalesce("c.purl", F.lit("")).alias("purl"), F.coalesce("c.type", F.lit("unknown")).alias("component_type"))
-    deps = d.select("doc_id", F.explode("d.dependencies").alias("p"))
-    # References that no component lists come last, so a parent without children is not lost.
-    refs = deps.select("doc_id", F.col("p.ref").alias("node")).where("node IS NOT NULL AND node != ''").distinct()
-    missing = refs.join(nodes.select("doc_id", "node"), ["doc_id", "node"], "left_anti").select(
-        "doc_id", F.lit(None).cast("int").alias("pos"), "node", F.col("node").alias("name"), F.lit("").alias("version"),
-        F.lit("").alias("purl"), F.lit("unresolved").alias("component_type"))
-    nodes = nodes.unionByName(missing)
+        F.coalesce("c.purl", F.lit("")).alias("purl"), F.coalesce("c.type", kind).alias("component_type"))
+    deps = d.select("doc_id", F.explode_outer("d.dependencies").alias("p"))
     edges = deps.select("doc_id", F.col("p.ref").alias("src"), F.explode("p.dependsOn").alias("dst")).distinct()
     return nodes, edges
 
