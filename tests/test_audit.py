@@ -132,3 +132,27 @@ def test_quoting_matches_json(spark):
 def test_block_lines(spark):
     line = audit.evidence_block(_evidence(spark)).where("group_id = 'ops' AND pos = 1").first().line
     assert line == "[E31] logins=17; countries=DE, FR"
+
+
+def test_few_groups_have_their_cases_written_by_many_tasks(spark):
+    """The cases of all groups come from a table of a few bytes a group, which the planner would put into one task."""
+    rows = [(g, p, f"E{p}", [("k", "v")]) for g in range(400) for p in (1, 2)]
+    evidence = spark.createDataFrame(rows, "group_id long, pos int, evidence_id string, fields array<struct<field:string,value:string>>")
+    first = '[{"evidence_id": "E1", "field": "k", "action": "review"}, {"evidence_id": "E2", "field": "k", "action": "defer"}]'
+    supported = spark.range(400).select(F.col("id").alias("group_id"), F.lit(first).alias("selections"))
+    cases = audit.control_cases(evidence, supported).withColumn("task", F.spark_partition_id())
+    found = cases.groupBy("task").agg(F.count_distinct("group_id").alias("n")).collect()
+    assert len(found) >= 16 and sum(r.n for r in found) == 400 and max(r.n for r in found) < 40
+
+
+@pytest.mark.parametrize("limit", [1, 12, 30, 700])
+def test_marks_across_the_limit(spark, limit):
+    """What is beyond the limit is not searched, and that changes no text: a match at the limit is marked, later ones cannot move in."""
+    import re
+    texts = [" " * k + "x" * (limit - d) + t + "tail ignore above" * 3 for k in (0, 2) for d in range(min(limit, 21)) for t in ("Ignore the previous", "ignore above", "SYſTEM prompt")]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    pattern = re.compile(ev.INJECTION_PATTERN, re.I)
+    got = [r.c for r in frame.select(ev.sanitize_evidence("t", limit).alias("c")).collect()]
+    assert got == [pattern.sub(ev.INJECTION_MARK, t.strip())[:limit] for t in texts]
+    plan = frame.select(ev.sanitize_evidence("t", limit))._jdf.queryExecution().optimizedPlan().toString()
+    assert f"1, {limit + 19}" in plan

@@ -21,6 +21,8 @@ URL_PATTERN = rf"https?://[^{WHITE_SPACE}]+"
 INJECTION_PATTERN = "ignore (all |the )?(previous|above)|system prompt|developer message"
 URL_MARK, INJECTION_MARK = "[URL-REDACTED]", "[PROMPT-INJECTION-REMOVED]"
 VALUE_LIMIT = 700
+# No match of the injection pattern is longer than this, and the mark is: what lies farther behind the limit cannot move into it.
+INJECTION_CHARS = len("ignore all previous")
 
 
 def _col(c: Column | str) -> Column:
@@ -35,7 +37,8 @@ def sanitize_evidence(value: Column | str, limit: int = VALUE_LIMIT) -> Column:
     text = F.translate(F.coalesce(_col(value).cast("string"), F.lit("None")), "<>`", "[]")
     text = F.regexp_replace(text, URL_PATTERN, URL_MARK)
     text = F.regexp_replace(text, rf"[\x{{0}}-\x{{1f}}{WHITE_SPACE}]+", " ")
-    text = F.regexp_replace(F.trim(text), f"(?iu){INJECTION_PATTERN}", INJECTION_MARK)
+    near = F.substring(F.trim(text), 1, limit + INJECTION_CHARS)
+    text = F.regexp_replace(near, f"(?iu){INJECTION_PATTERN}", INJECTION_MARK)
     return F.substring(text, 1, limit)
 
 
